@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillspark.llm import mixing
+from quillspark.llm import mixing, quality
 
 _OPERATORS = {
     "op1_source_mix": (mixing.op1_source_mix, mixing.ORACLE),
+    "op2_quality": (quality.op2_quality, None),
 }
 
 
