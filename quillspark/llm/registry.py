@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillspark.llm import mixing, quality
+from quillspark.llm import mixing, quality, secrets
 
 _OPERATORS = {
     "op1_source_mix": (mixing.op1_source_mix, mixing.ORACLE),
     "op2_quality": (quality.op2_quality, None),
+    "op3_secrets": (secrets.op3_secrets, secrets.ORACLE),
 }
 
 
