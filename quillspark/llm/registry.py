@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quillspark.llm import mixing, quality, secrets
+from quillspark.llm import mixing, quality, secrets, simhash
 
 _OPERATORS = {
     "op1_source_mix": (mixing.op1_source_mix, mixing.ORACLE),
     "op2_quality": (quality.op2_quality, None),
     "op3_secrets": (secrets.op3_secrets, secrets.ORACLE),
+    "op4_simhash": (simhash.op4_simhash, None),
 }
 
 
