@@ -84,7 +84,7 @@ class PieceBpe:
         self.tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
         self.split = regex.compile(pattern).findall
-        whole = self.processor.encode([letters(t) for t in self.tokens])
+        whole = self.processor.encode([letters(t) for t in self.tokens], num_threads=1)
         #: Tokens that merging does not reach.
         self.unreached = {self.tokens[i]: i for i, ids in enumerate(whole) if ids != [i]}
         self.pieces = PieceEncoder(self.encode_listed)
@@ -92,7 +92,7 @@ class PieceBpe:
 
     def encode(self, text: str) -> list[int]:
         raw = [t.encode() for t in self.split(text)]
-        ids = self.processor.encode([letters(r) for r in raw])
+        ids = [self.processor.encode(letters(r)) for r in raw]  # one by one: a list would start threads
         if self.unreached:
             ids = [[self.unreached[r]] if r in self.unreached else i for r, i in zip(raw, ids)]
         return [i for some in ids for i in some]
