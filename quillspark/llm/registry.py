@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from quillspark.llm import mixing, quality, secrets, simhash
+from quillspark.llm import mixing, packed_ids, piece_bpe, quality, secrets, simhash, topk
 
 _OPERATORS = {
     "op1_source_mix": (mixing.op1_source_mix, mixing.ORACLE),
     "op2_quality": (quality.op2_quality, None),
     "op3_secrets": (secrets.op3_secrets, secrets.ORACLE),
     "op4_simhash": (simhash.op4_simhash, None),
+    "op6_piece_bpe": (piece_bpe.op6_piece_bpe, None),
+    "op7_topk": (topk.op7_topk, topk.ORACLE),
+    "op10_packed_ids": (packed_ids.op10_packed_ids, None),
 }
 
 
