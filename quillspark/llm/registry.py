@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import mixing, packed_ids, piece_bpe, quality, secrets, simhash, topk, toxicity
+from quillspark.llm import mixing, packed_ids, piece_bpe, quality, secrets, simhash, suffixes, topk, toxicity
 
 _OPERATORS = {
     "op1_source_mix": (mixing.op1_source_mix, mixing.ORACLE),
@@ -11,6 +11,7 @@ _OPERATORS = {
     "op4_simhash": (simhash.op4_simhash, None),
     "op6_piece_bpe": (piece_bpe.op6_piece_bpe, None),
     "op7_topk": (topk.op7_topk, topk.ORACLE),
+    "op8_suffix_dedup": (suffixes.op8_suffix_dedup, None),
     "op9_toxicity": (toxicity.op9_toxicity, None),
     "op10_packed_ids": (packed_ids.op10_packed_ids, None),
 }
