@@ -19,8 +19,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -122,14 +124,31 @@ def piece_bpe(path: str, pattern: str) -> PieceBpe:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and the token ids of every whole text."""
+    """doc_id, n_tokens, the ids of every whole text, and whether they decode to it."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         coder = piece_bpe(path, pattern)
-        ids = [list(map(int, b" ".join(coder.pieces(t or "")).split())) for t in batch.column("text").to_pylist()]
-        return pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
-
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
+        held, n = [], 0
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            pieces = coder.pieces(text or "")
+            ids = np.array(b" ".join(pieces).split(), np.int32)
+            exact = b"".join(map(coder.decoded.__getitem__, pieces)) == (text or "").encode()
+            held.append((doc_id, len(ids), ids, exact))
+            n += len(ids)
+            if n > 1 << 20:
+                yield encoded_batch(held)
+                held, n = [], 0
+        yield encoded_batch(held)
+
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids array<int>, exact boolean")
+
+
+def encoded_batch(rows: list[tuple]) -> pa.RecordBatch:
+    doc_ids, counts, ids, exact = zip(*rows) if rows else [()] * 4
+    flat = np.concatenate([np.zeros(0, np.int32), *ids])
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    columns = [pa.array(doc_ids, pa.int64()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(exact, pa.bool_())]
+    return pa.record_batch(columns, ["doc_id", "n_tokens", "ids", "exact"])
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, settle, table
+from quillspark.llm.common import map_batches, settle, table, with_row_key
 from quillspark.llm.components import smallest_reachable
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -162,15 +162,29 @@ def links_within(prints: DataFrame, radius: int = RADIUS, most: int = MOST) -> D
     return links
 
 
+def _rooted(prints: DataFrame, first: Column, radius: int, most: int) -> DataFrame:
+    """n_fp and first: for each print the smallest ``first`` among the prints it reaches."""
+    nodes = settle(prints.groupBy("fp").agg(F.min(first).alias("own")))
+    roots = smallest_reachable(links_within(nodes.select("fp"), radius, most))
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("own").alias("first"))
+    return rooted.join(named, "root").select(F.col("fp").alias("n_fp"), "first")
+
+
 def components(docs: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFrame:
     """doc_id, fp and component_id (the smallest id reachable) of every document."""
     prints = settle(fingerprints(docs))
-    nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = smallest_reachable(links_within(nodes.select("fp"), radius, most))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = rooted.join(named, "root").select(F.col("fp").alias("n_fp"), "component_id")
-    return prints.join(by_print, F.col("fp") == F.col("n_fp")).select("doc_id", "fp", "component_id")
+    rooted = _rooted(prints, F.col("doc_id"), radius, most)
+    return prints.join(rooted, F.col("fp") == F.col("n_fp")).select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFrame:
+    """Of every component the document of smallest id (null ids last), with all its columns."""
+    keyed = with_row_key(docs, "__row")
+    prints = settle(fingerprints(keyed.select("__row", "doc_id", "text"), ("__row", "doc_id")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    kept = _rooted(prints, order, radius, most).select(F.col("first.__row").alias("__row")).distinct()
+    return keyed.join(kept, "__row", "left_semi").drop("__row")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
