@@ -6,6 +6,8 @@ capture what Spark's patterns look at; the inputs keep matches apart.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +18,7 @@ from quillspark.functions import cleaning, extract, rules, web
 from quillspark.operators import acts as act_ops
 from quillspark.operators import archive, lines, search
 from quillspark.plans import inputs
+from quillspark.streaming import files as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -527,6 +530,65 @@ def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.raa_rows(spark, sf_dir).select("date_acte", "id").withColumn("k", F.row_number().over(order)).where("k = 1").drop("k")
 
 
+# ---- streams: run over what is there, then read as tables ----
+
+
+def _stream_paths(spark: SparkSession) -> tuple[str, str]:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillspark-")
+    run = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{run}/table", f"{run}/checkpoint"
+
+
+def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = inputs.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+@query("stream_activity", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, checkpoint = _stream_paths(spark)
+    events = _table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    streams.latest_to_end(streams.activity(events), table, checkpoint)
+    return spark.read.parquet(table).withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("total", F.round("total", 4))
+
+
+@query("stream_new_urls", "SELECT DISTINCT 'https://a.example/' || CAST(user_id AS STRING) || '/' || event_type AS url FROM events")
+def _new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, checkpoint = _stream_paths(spark)
+    url = F.concat(F.lit("https://a.example/"), F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"))
+    streams.run_to_end(streams.new_urls(_table_stream(spark, sf_dir, "events").select(url.alias("url"))), table, checkpoint)
+    return spark.read.parquet(table)
+
+
+# ---- crawl plan ----
+
+_MONTHS_OF = f"SELECT year, month, min(url) AS url, count(*) AS n_links FROM ({_RESOLVED}) WHERE kind = 'month' AND year > 0 AND month > 0 GROUP BY year, month"
+
+
+@query("crawl_plan", f"""
+SELECT year, CAST(year AS STRING) || '-' || lpad(CAST(month AS STRING), 2, '0') AS month_key, url, n_links FROM ({_MONTHS_OF})
+UNION ALL
+SELECT year, CAST(year AS STRING) || '-00' AS month_key, min(url) AS url, count(*) AS n_links FROM ({_RESOLVED}) r
+WHERE kind = 'pdf' AND year > 0 AND NOT EXISTS (SELECT 1 FROM ({_MONTHS_OF}) m WHERE m.year = r.year) GROUP BY year
+""")
+def _plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months of each year, and a month 00 of the documents of years without any."""
+    links = _resolved(spark, sf_dir).where("year > 0")
+    months = links.where("kind = 'month' AND month > 0").groupBy("year", "month").agg(F.min("url").alias("url"), F.count("*").alias("n_links"))
+    key = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
+    direct = links.where("kind = 'pdf'").join(months.select("year").distinct(), "year", "left_anti")
+    pseudo = direct.groupBy("year").agg(F.min("url").alias("url"), F.count("*").alias("n_links"))
+    return months.select("year", key.alias("month_key"), "url", "n_links").union(
+        pseudo.select("year", F.concat(F.col("year").cast("string"), F.lit("-00")), "url", "n_links")
+    )
+
+
+@query("same_origin_links", f"SELECT page_id, CAST(pos AS BIGINT) AS pos, starts_with(url, 'https://www.prefecture-test.fr/') AS same_origin FROM ({inputs.LINKS_SQL})")
+def _origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    same = web.origin_of(F.col("url")) == F.lit("https://www.prefecture-test.fr")
+    return inputs.links(spark, sf_dir).select("page_id", F.col("pos").cast("long").alias("pos"), same.alias("same_origin"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to acts to fields: cleaned, split, extracted, anonymised, dated."""
     acts = act_ops.split_acts(cleaning.cleaned(inputs.acts(spark, sf_dir), "act"), "doc_id", "act")

@@ -30,6 +30,17 @@ def activity(events: DataFrame, late: str = "10 minutes", width: str = "1 hour")
     return windowed.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
+def latest_to_end(stream: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Run an aggregation over what is there and stop; each batch replaces the table by the whole result."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(table_path)
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def run_to_end(stream: DataFrame, table_path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Run over what is there and stop; results as Parquet."""
     query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start(table_path)
