@@ -40,7 +40,8 @@ def _lines(text: Column) -> Column:
 def template_occurrences(keyed: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """row, at, leaf, template, place of every line; keyed has row, doc_id and text."""
     lines = keyed.select("row", "doc_id", F.xxhash64("text").alias("body"), F.posexplode(_lines(F.col("text"))).alias("at", "line"))
-    general = lines.withColumn("line", F.regexp_replace("line", FIELD, F.lit("<*>"))).withColumn("n", F.regexp_count("line", F.lit(WORD)))
+    fields = F.when(F.col("line").rlike("[0-9@]"), F.regexp_replace("line", FIELD, F.lit(MARK))).otherwise(F.col("line"))
+    general = lines.withColumn("line", fields).withColumn("n", F.regexp_count("line", F.lit(WORD)))
     leaf = F.xxhash64("n", F.regexp_extract("line", LEADING, 1))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body", "at")
     return general.where(F.col("n") >= min_tokens).select("row", leaf.alias("leaf"), F.xxhash64("line").alias("template"), place.alias("place"))
