@@ -24,17 +24,19 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.chunks import PieceEncoder
+from quillspark.llm.chunks import PieceMemory
 from quillspark.llm.common import BATCH_BYTES, BATCH_ROWS, settle, table
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
@@ -110,21 +112,83 @@ class Segment:
         return self.range(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+#: White space other than single spaces and line breaks inside a text, for Arrow's patterns.
+_ODD = (
+    r"[\t\x0B\x0C\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|[ \n]{2}|\A[ \n]|[ \n]\z"
+)
+#: Letters up to here are letters to every version of Unicode in use.
+_LAST_LETTER, _TAILS = "\u024f", ".,;:!?"
+
+
 class LibraryEncoder:
-    """Ids of texts by the tokenizers library, those of recurring pieces remembered."""
+    """Ids of texts by the tokenizers library, those of recurring pieces remembered.
+
+    Texts are cut between words with Arrow, and equal words of a batch are looked
+    up once. A word that is not remembered is encoded by the library; one of
+    letters alone is a single pre-token, which goes to the library's model.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pieces = PieceEncoder(self._encode)
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.letters: dict[int, str] = {}
+        if self.tokenizer.normalizer is None and cut is not None:  # else pre-tokens are not what they seem
+            for c in filter(str.isalpha, map(chr, range(ord(_LAST_LETTER) + 1))):
+                self.letters[ord(c)] = cut.pre_tokenize_str(c)[0][0]
+            self.space = cut.pre_tokenize_str(" a")[0][0][:-1]
+        self.tokens = PieceMemory(lambda token: array("I", [t.id for t in self.model.tokenize(token)]).tobytes())
+        self.plain = PieceMemory(lambda word: self.encode(word, False))
+        self.spaced = PieceMemory(lambda word: self.encode(word, True))
+
+    def encode(self, word: str, spaced: bool) -> bytes:
+        core, tail = (word[:-1], word[-1]) if word[-1:] and word[-1:] in _TAILS else (word, "")
+        if self.letters and core.isalpha() and max(core) <= _LAST_LETTER:
+            token = core.translate(self.letters)
+            return self.tokens[self.space + token if spaced else token] + (self.tokens[tail] if tail else b"")
+        text = " " + word if spaced else word
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a column; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, np.uint32)
+        regular = np.flatnonzero(~odd)
+        if len(regular):
+            words = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(~odd)), "\n", " \n "), " ")
+            for k, ids in zip(regular.tolist(), self._joined(words)):
+                out[k] = ids
+        return out
+
+    def _joined(self, words: pa.Array) -> list[np.ndarray]:
+        coded = words.flatten().dictionary_encode()
+        code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        begins = words.offsets.to_numpy().astype(np.int64)
+        begins = begins - begins[0]
+        breaks = code == (names.index("\n") if "\n" in names else -1)
+        first = breaks.copy()  # words without a space before them
+        first[begins[:-1]] = True
+        first[1:] |= breaks[:-1]
+        kind = 2 * code + first
+        kinds = np.flatnonzero(np.bincount(kind, minlength=2 * len(names)))
+        made = [(self.plain if k & 1 else self.spaced)[names[k >> 1]] for k in kinds.tolist()]
+        pool = np.frombuffer(b"".join(made), np.uint32)
+        sizes = np.zeros(2 * len(names), np.int64)
+        sizes[kinds] = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[kind]
+        ends = np.cumsum(n)
+        ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[kind] - (ends - n), n)]
+        cuts = np.concatenate([[0], ends])[begins]
+        return [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
     def __call__(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(self.pieces(text or "")), "<u4")
+        return self.batch(pa.array([text], pa.string()))[0]
 
 
 @lru_cache(maxsize=2)
@@ -144,7 +208,7 @@ _ARROW = pa.schema(
 
 
 def packed_segments(
-    docs: DataFrame, encoder: Callable[[], Callable[[str | None], np.ndarray]], width: int, end_id: int, shards: int
+    docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], list[np.ndarray]]], width: int, end_id: int, shards: int
 ) -> DataFrame:
     """Segments in ascending order of doc_id; ``first`` counts the ids before a segment in its shard.
 
@@ -166,8 +230,8 @@ def packed_segments(
             return pa.record_batch([pa.array(a, f.type) for a, f in zip(arrays, _ARROW)], schema=_ARROW)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(encode(text), np.uint32(end_id))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                ids = np.append(ids, np.uint32(end_id))
                 if held and n + len(ids) > SEGMENT_IDS:
                     yield segment()
                     before, names, held, n = before + n, [], [], 0
@@ -214,7 +278,7 @@ def write_library_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """Tokenise with the library, write the files to the shared folder, and give them to read."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = width_of(vocabulary_size(path))
-    return settle(packed_segments(docs, lambda: library_encoder(path), width, end_id, shards))
+    return settle(packed_segments(docs, lambda: library_encoder(path).batch, width, end_id, shards))
 
 
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
