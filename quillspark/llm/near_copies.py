@@ -1,0 +1,168 @@
+"""Near-copies by the exact Jaccard similarity of five-word shingles.
+
+Two texts are linked when their sets of shingles have a similarity of
+SIMILARITY (4/5) or more; of every component one document stays. SimHash at an
+affordable radius misses most such pairs, so they are found by prefix filtering,
+which misses none: with shingles in the order of their hashes, two sets of that
+similarity share one of the first n - ceil(4n/5) + 1 shingles of either.
+
+Texts with equal sets are folded first. Of the shingles in those prefixes only
+the ones that two sets hold go on. Every set is compared with the smallest row
+that shares a shingle with it; that ties close groups together, however large.
+Then sets that share a shingle and are not in one component yet are compared
+pair by pair. Before whole sets, made anew from the texts, are compared, pairs
+are sifted by their sketches, the numbers of shingles by range of hashes: these
+differ by no more than the sets do, so no similar pair is sifted out.
+
+Edge cases: words and shorter texts are as in ``simhash``: texts with fewer than
+five words make one shingle; null and empty texts and those without a word have
+the empty set and are copies of each other; of a component the smallest id stays
+(null ids last); an empty table gives an empty result; extra columns are left alone.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from quillspark.llm.common import map_batches, settle, with_row_key
+from quillspark.llm.components import smallest_reachable
+
+SHINGLE, SEED = 5, 42
+#: The least similarity, as a fraction.
+SIMILARITY = (4, 5)
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct hashes of a whole text's shingles as signed longs, in order."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.int64)
+    if len(words) < SHINGLE:
+        shingles = [b" ".join(words)]
+    else:
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE))))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(s, SEED) for s in shingles], np.uint64).view(np.int64))
+
+
+def prefix_length(n: int) -> int:
+    """Of n shingles in order, so many hold one that any similar set has among its own first ones."""
+    part, whole = SIMILARITY
+    return n - -(-part * n // whole) + 1 if n else 0
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles, up to 255, are in each of equal ranges of hashes; about four a range."""
+    bits = max(4, (len(shingles) // 4).bit_length())
+    counts = np.bincount((shingles.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(a: bytes, b: bytes, n: int) -> bool:
+    """Whether the sketches of two sets, of n shingles together, leave it open that they are similar."""
+    part, whole = SIMILARITY
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    y = np.minimum(y.reshape(len(x), -1).sum(1, dtype=np.int64), 255)
+    return int(np.abs(x.astype(np.int64) - y).sum()) * (whole + part) <= n * (whole - part)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
+
+
+def _prefixes(keyed: DataFrame) -> DataFrame:
+    """row, doc_id, digest of the set, its size n, prefix and sketch of every document."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+        sizes = pa.array([len(s) for s in sets], pa.int32())
+        prefixes = _lists([s[: prefix_length(len(s))] for s in sets])
+        columns = [batch.column("row"), batch.column("doc_id"), digests, sizes, prefixes, pa.array([sketch(s) for s in sets], pa.binary())]
+        return pa.record_batch(columns, ["row", "doc_id", "digest", "n", "prefix", "sketch"])
+
+    kinds = dict(keyed.dtypes)
+    schema = f"row long, doc_id {kinds['doc_id']}, digest binary, n int, prefix array<long>, sketch binary"
+    return map_batches(keyed.select("row", "doc_id", "text"), run, schema)
+
+
+def _sets(keyed: DataFrame) -> DataFrame:
+    """row and the whole set of every document."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.record_batch([batch.column("row"), _lists([shingle_set(t) for t in batch.column("text").to_pylist()])], ["row", "whole"])
+
+    return map_batches(keyed.select("row", "text"), run, "row long, whole array<long>")
+
+
+def _sifted(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows whose sketches leave it open that they are similar."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = (batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "n"))
+        return batch.select(["a", "b"]).filter(pa.array([may_be_similar(*p) for p in zip(*columns)], pa.bool_()))
+
+    one, two = (sketches.select(F.col("row").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b", (F.col("n_a") + F.col("n_b")).alias("n"))
+    return map_batches(joined, run, "a long, b long")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows whose whole sets are similar."""
+    part, whole = SIMILARITY
+    pairs = settle(_sifted(pairs, sets))
+    named = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+    texts = settle(_sets(keyed.join(named, "row", "left_semi")))
+    one = texts.select(F.col("row").alias("a"), F.col("whole").alias("whole_a"))
+    two = texts.select(F.col("row").alias("b"), F.col("whole").alias("whole_b"))
+    common = F.size(F.array_intersect("whole_a", "whole_b"))
+    either = F.size("whole_a") + F.size("whole_b") - common
+    return pairs.join(one, "a").join(two, "b").where(common * whole >= either * part).select("a", "b")
+
+
+def _fits(a: str, b: str) -> Column:
+    """Sets of such sizes can be similar at all."""
+    part, whole = SIMILARITY
+    return F.least(a, b) * whole >= F.greatest(a, b) * part
+
+
+def similar_links(sets: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(a, b): links that join all rows with similar sets; ``sets`` has row, n, prefix and sketch, no two sets equal."""
+    prefixes = sets.select("row", "n", F.explode("prefix").alias("shingle"))
+    shared = prefixes.groupBy("shingle").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last").select("shingle", "first")
+    held = settle(prefixes.join(shared, "shingle"))
+    sizes = sets.select(F.col("row").alias("a"), F.col("n").alias("n_a"))
+    stars = held.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"), F.col("n").alias("n_b")).distinct()
+    stars = settle(stars.join(sizes, "a").where(_fits("n_a", "n_b")).select("a", "b"))
+    links = settle(_similar(stars, sets, keyed))
+    roots = settle(smallest_reachable(links))
+    rooted = held.join(roots, held.row == roots.node, "left").select("shingle", "row", "n", F.coalesce("root", "row").alias("root"))
+    # Shingles whose sets have all met in one component are done with.
+    open_ones = rooted.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("shingle")
+    rooted = settle(rooted.join(open_ones, "shingle", "left_semi"))
+    one = rooted.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "root")))
+    two = rooted.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "root")))
+    met = one.join(two, "shingle").where((F.col("row_a") < F.col("row_b")) & (F.col("root_a") != F.col("root_b")) & _fits("n_a", "n_b"))
+    pairs = met.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
+    pairs = settle(pairs.join(stars, ["a", "b"], "left_anti"))
+    return links.union(_similar(pairs, sets, keyed))
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """Of every component of near-copies the document of smallest id (null ids last), with all its columns."""
+    keyed = with_row_key(docs, "__row")
+    texts = keyed.select(F.col("__row").alias("row"), "doc_id", "text")
+    made = settle(_prefixes(texts))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    firsts = made.groupBy("digest").agg(F.min(order).alias("own"))
+    own = settle(firsts.select("own", F.col("own.row").alias("row")))
+    sets = made.join(own.select("row"), "row", "left_semi")
+    roots = smallest_reachable(similar_links(sets, texts))
+    rooted = own.join(roots, own.row == roots.node, "left").select("own", F.coalesce("root", "row").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("own").alias("first")).select(F.col("first.row").alias("__row"))
+    return keyed.join(kept, "__row", "left_semi").drop("__row")
