@@ -172,7 +172,7 @@ _cleaning("clean_s7_final", ["a  \nb\t\n\n\n\n\nc", "\u00a0\u202fx", "y"], clean
 
 @query("clean_pipeline")
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.cleaned(inputs.acts(spark, sf_dir), "act").select("doc_id", F.col("act").alias("cleaned"))
+    return cleaning.cleaned(inputs.whole_acts(spark, sf_dir), "act").select("doc_id", F.col("act").alias("cleaned"))
 
 
 @query(
@@ -192,7 +192,7 @@ def _char_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("section_labels")
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.acts(spark, sf_dir).select("doc_id", F.posexplode_outer(act_ops.sections(F.col("act"))).alias("at", "s"))
+    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", F.posexplode_outer(act_ops.sections(F.col("act"))).alias("at", "s"))
     return rows.select("doc_id", "at", "s.label", F.md5("s.content").alias("content_md5"))
 
 
@@ -203,7 +203,7 @@ def _section_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("section_marks")
 def _marks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.acts(spark, sf_dir).select("doc_id", act_ops.with_section_marks(F.col("act")).alias("marked"))
+    return inputs.whole_acts(spark, sf_dir).select("doc_id", act_ops.with_section_marks(F.col("act")).alias("marked"))
 
 
 _SCORE = " + ".join(f"CAST(regexp_matches({{t}}, '{p}') AS INT)" for p in (
@@ -239,7 +239,7 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("act_files")
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.acts(spark, sf_dir)
+    docs = inputs.whole_acts(spark, sf_dir)
     acts = act_ops.split_acts(docs, "doc_id", "act")
     heads = docs.select("doc_id", act_ops.header(F.col("act")).alias("head"), act_ops.summary(F.col("act")).alias("listed"))
     joined = acts.join(heads, acts.source == heads.doc_id)
@@ -282,7 +282,7 @@ def _tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("act_json")
 def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.acts(spark, sf_dir).select("doc_id", "act", *extract.fields(F.col("act")))
+    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", "act", *extract.fields(F.col("act")))
     return rows.select("doc_id", extract.act_json(F.col("doc_id"), F.col("act"), {n: F.col(n) for n in rules.FIELDS}).alias("json"))
 
 
@@ -299,12 +299,12 @@ def _anonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("validate_structure")
 def _validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.fix_structure(F.col("act"))
-    return inputs.acts(spark, sf_dir).select("doc_id", clean.alias("act")).select("doc_id", extract.validation(F.col("act")).alias("v")).select("doc_id", "v.*")
+    return inputs.whole_acts(spark, sf_dir).select("doc_id", clean.alias("act")).select("doc_id", extract.validation(F.col("act")).alias("v")).select("doc_id", "v.*")
 
 
 @query("diff_lines")
 def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.acts(spark, sf_dir).select("doc_id", "act", cleaning.fix_structure(F.col("act")).alias("clean"))
+    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", "act", cleaning.fix_structure(F.col("act")).alias("clean"))
     return lines.diff_lines(rows, "doc_id", "act", "clean", "structure")
 
 
@@ -314,7 +314,7 @@ def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _french(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = extract.field(F.col("act"), "date_acte")
-    rows = inputs.acts(spark, sf_dir).select("doc_id", date.alias("d"))
+    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", date.alias("d"))
     return rows.select("doc_id", extract.french_date(F.col("d")).alias("date_acte"), extract.month_number(F.col("d")).cast("long").alias("month"))
 
 
@@ -591,7 +591,7 @@ def _origin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to acts to fields: cleaned, split, extracted, anonymised, dated."""
-    acts = act_ops.split_acts(cleaning.cleaned(inputs.acts(spark, sf_dir), "act"), "doc_id", "act")
+    acts = act_ops.split_acts(cleaning.cleaned(inputs.whole_acts(spark, sf_dir), "act"), "doc_id", "act")
     found = acts.select("source", "index", "titre", "score", "contenu", *extract.fields(F.col("contenu")))
     return found.select(
         "source", "index", "titre", "score", "numero_acte", extract.french_date(F.col("date_acte")).alias("date_acte"), "fonction_auteur",
