@@ -22,8 +22,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; n_chars follows the text."""
-    left = line_templates.drop_template_lines(docs.select(*COLUMNS))
+    """Documents without lines of recurring templates, long ones from two texts on; n_chars follows the text."""
+    left = line_templates.drop_template_lines(docs.select(*COLUMNS), long_tokens=line_templates.LONG_TOKENS)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

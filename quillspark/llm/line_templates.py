@@ -9,7 +9,9 @@ documents with different texts hold it; each of its lines is dropped but the
 first, in the document of smallest id, which keeps its text whole.
 
 Documents are counted by their text, so that mere copies of one do not make its
-lines recur. Lines below ``min_tokens`` tokens are left alone.
+lines recur. Lines below ``min_tokens`` tokens are left alone. Where ``long_tokens``
+is given, two such documents are enough for a template of that many tokens,
+which chance does not repeat.
 
 Edge cases: a null text stays null and has no lines; an empty one has one line
 without tokens; line breaks are \\n alone; a null id comes after all others;
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import WORD, settle, table, with_row_key
 
 DEPTH, MIN_TOKENS, MIN_DOCS = 3, 3, 3
+#: Templates of so many tokens recur in two documents already; op5's SQL knows no such rule.
+LONG_TOKENS, LONG_DOCS = 20, 2
 MARK = "<*>"
 #: A token with a digit or @ in it; it is looked for at the start of a token only, so that time stays linear.
 FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
@@ -38,34 +42,37 @@ def _lines(text: Column) -> Column:
 
 
 def template_occurrences(keyed: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """row, at, leaf, template, place of every line; keyed has row, doc_id and text."""
+    """row, leaf, template, its tokens n and the place of every line; keyed has row, doc_id and text."""
     lines = keyed.select("row", "doc_id", F.xxhash64("text").alias("body"), F.posexplode(_lines(F.col("text"))).alias("at", "line"))
     fields = F.when(F.col("line").rlike("[0-9@]"), F.regexp_replace("line", FIELD, F.lit(MARK))).otherwise(F.col("line"))
     general = lines.withColumn("line", fields).withColumn("n", F.regexp_count("line", F.lit(WORD)))
     leaf = F.xxhash64("n", F.regexp_extract("line", LEADING, 1))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body", "at")
-    return general.where(F.col("n") >= min_tokens).select("row", leaf.alias("leaf"), F.xxhash64("line").alias("template"), place.alias("place"))
+    return general.where(F.col("n") >= min_tokens).select("row", leaf.alias("leaf"), F.xxhash64("line").alias("template"), "n", place.alias("place"))
 
 
-def recurring_templates(occurrences: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """leaf, template and first place of templates that min_docs different texts hold."""
-    by_text = occurrences.groupBy("leaf", "template", "place.body").agg(F.min("place").alias("first"))
-    by_template = by_text.groupBy("leaf", "template").agg(F.count("*").alias("n_docs"), F.min("first").alias("first"))
-    return by_template.where(F.col("n_docs") >= min_docs)
+def recurring_templates(occurrences: DataFrame, min_docs: int = MIN_DOCS, long_tokens: int | None = None) -> DataFrame:
+    """leaf, template and first place of templates that min_docs different texts hold, or LONG_DOCS if they are long."""
+    by_text = occurrences.groupBy("leaf", "template", "place.body").agg(F.min("place").alias("first"), F.first("n").alias("n"))
+    by_template = by_text.groupBy("leaf", "template").agg(F.count("*").alias("n_docs"), F.min("first").alias("first"), F.first("n").alias("n"))
+    recurs = F.col("n_docs") >= min_docs
+    if long_tokens is not None:
+        recurs |= (F.col("n") >= long_tokens) & (F.col("n_docs") >= LONG_DOCS)
+    return by_template.where(recurs)
 
 
-def dropped_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def dropped_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, long_tokens: int | None = None) -> DataFrame:
     """row and the places of its lines to drop."""
     occurrences = settle(template_occurrences(keyed, min_tokens))
-    recurring = recurring_templates(occurrences, min_docs).select("leaf", "template", "first")
+    recurring = recurring_templates(occurrences, min_docs, long_tokens).select("leaf", "template", "first")
     gone = occurrences.join(recurring, ["leaf", "template"]).where(F.col("place") != F.col("first"))
     return gone.groupBy("row").agg(F.collect_set("place.at").alias("gone"))
 
 
-def drop_template_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def drop_template_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, long_tokens: int | None = None) -> DataFrame:
     """The documents without the lines of recurring templates; all columns stay, with __lines and __dropped added."""
     keyed = with_row_key(docs, "__row")
-    gone = dropped_lines(keyed.select(F.col("__row").alias("row"), "doc_id", "text"), min_docs, min_tokens)
+    gone = dropped_lines(keyed.select(F.col("__row").alias("row"), "doc_id", "text"), min_docs, min_tokens, long_tokens)
     joined = keyed.join(gone.select(F.col("row").alias("__gone_row"), F.col("gone").alias("__gone")), F.col("__row") == F.col("__gone_row"), "left")
     kept = F.array_join(F.filter(_lines(F.col("text")), lambda line, at: ~F.array_contains("__gone", at)), "\n")
     counted = joined.withColumn("__lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines(F.col("text")))).cast("long"))
