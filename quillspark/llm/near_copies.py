@@ -22,6 +22,8 @@ the empty set and are copies of each other; of a component the smallest id stays
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,6 +36,8 @@ from quillspark.llm.components import smallest_reachable
 SHINGLE, SEED = 5, 42
 #: The least similarity, as a fraction.
 SIMILARITY = (4, 5)
+#: Rows whose hashes a Python worker holds at once.
+SLICE = 128
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -75,10 +79,15 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
+def _sliced(one: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """The function over a few rows at a time, as hashes take more memory than texts."""
+    return lambda batch: (one(batch.slice(at, SLICE)) for at in range(0, batch.num_rows, SLICE))
+
+
 def _prefixes(keyed: DataFrame) -> DataFrame:
     """row, doc_id, digest of the set, its size n, prefix and sketch of every document."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
         digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
         sizes = pa.array([len(s) for s in sets], pa.int32())
@@ -88,16 +97,16 @@ def _prefixes(keyed: DataFrame) -> DataFrame:
 
     kinds = dict(keyed.dtypes)
     schema = f"row long, doc_id {kinds['doc_id']}, digest binary, n int, prefix array<long>, sketch binary"
-    return map_batches(keyed.select("row", "doc_id", "text"), run, schema)
+    return map_batches(keyed.select("row", "doc_id", "text"), _sliced(one), schema)
 
 
 def _sets(keyed: DataFrame) -> DataFrame:
     """row and the whole set of every document."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([batch.column("row"), _lists([shingle_set(t) for t in batch.column("text").to_pylist()])], ["row", "whole"])
 
-    return map_batches(keyed.select("row", "text"), run, "row long, whole array<long>")
+    return map_batches(keyed.select("row", "text"), _sliced(one), "row long, whole array<long>")
 
 
 def _sifted(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
