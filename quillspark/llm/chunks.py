@@ -15,7 +15,7 @@ from collections.abc import Callable
 ODD = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z")
 
 #: Pieces that a worker remembers before it forgets them all; longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 1_000_000, 64
+MOST_PIECES, LONGEST_PIECE = 1 << 17, 64
 
 
 class PieceMemory(dict):
