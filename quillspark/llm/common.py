@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,9 +15,11 @@ from pyspark.sql import functions as F
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of one Arrow batch; with the byte bound below it keeps Python workers small.
+#: Rows and bytes of the slices in which Arrow batches are worked on; they keep Python workers small.
 BATCH_ROWS = 2048
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+#: A key with more than one in so many rows is hot: fewer than that many keys can be. Its rows go to LANES tasks.
+HOT_SHARE, LEAST_HOT, LANES = 1000, 100, 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +34,8 @@ def word_count(text: Column) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where a session names none, as in small tests, is a local one made.
+    Only a local session that names none, as in small tests, gets a folder made;
+    on a cluster nobody but the driver could read it, so that raises.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if current.isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -52,7 +59,27 @@ def settle(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/quillspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled.settled_path = path
+    return settled
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables from which everything that is needed has been settled in its turn."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.settled_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of BATCH_ROWS rows and, above one row, BATCH_BYTES bytes at most."""
+    n = batch.num_rows
+    if n > BATCH_ROWS or (n > 1 and batch.nbytes > BATCH_BYTES):
+        yield from bounded(batch.slice(0, n // 2))
+        yield from bounded(batch.slice(n // 2))
+    else:
+        yield batch
 
 
 def map_batches(
@@ -60,26 +87,60 @@ def map_batches(
     per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """mapInArrow over batches of bounded rows and bytes."""
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """mapInArrow over slices of bounded rows and bytes; the session's settings are left alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = per_batch(batch)
-            if isinstance(made, pa.RecordBatch):
-                yield made
-            else:
-                yield from made
+            for part in bounded(batch):
+                made = per_batch(part)
+                if isinstance(made, pa.RecordBatch):
+                    yield made
+                else:
+                    yield from made
 
     return df.mapInArrow(run, schema)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the rows are those of files, one for one or fewer."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" and bool(df.inputFiles())
+
+
 def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
     """Number the rows, so that repeated or null ids do not run together.
 
-    The number is a row's partition and place in it, which any scan of the same
-    files repeats; call it on scans or settled tables only.
+    A row of a file has the file's number, by path, and its place in the file:
+    these stay the same however a scan is split, so a table can be read again
+    by executors that came later. The files' paths sent along are a row a file.
+    Other tables are settled with their numbers first.
+    """
+    if not _is_scan(df):
+        return settle(df.withColumn(name, F.monotonically_increasing_id()))
+    path, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    paths = sorted(r[0] for r in df.select(path).distinct().collect())
+    if len(paths) < 2:
+        return df.withColumn(name, at)
+    numbers = df.sparkSession.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+    keyed = df.select("*", path.alias("__of"), at.alias(name)).join(F.broadcast(numbers), F.col("__of") == F.col("__path"))
+    return keyed.select(*df.columns, F.shiftleft("__file", 40).bitwiseOR(F.col(name)).alias(name))
+
+
+def join_counted(left: DataFrame, counted: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Inner join with a settled table of distinct keys, its column n being the rows that ``left`` has of each.
+
+    Rows of a hot key are dealt over LANES tasks by the columns ``spread``, and
+    the key's row of ``counted`` goes to each. Hot keys are fewer than HOT_SHARE,
+    as each has more than that share of the rows, so they can be sent to all.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head().n
+    least = max(LEAST_HOT, total // HOT_SHARE)
+    hot = counted.where(F.col("n") > least).select(*(F.col(k).alias(f"__hot_{k}") for k in keys))
+    same = reduce(and_, (F.col(k) == F.col(f"__hot_{k}") for k in keys))
+    lane = F.when(F.col(f"__hot_{keys[0]}").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.lit(LANES))).cast("int")
+    dealt = left.join(F.broadcast(hot), same, "left").select(*left.columns, lane.alias("__lane"))
+    lanes = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(LANES - 1))).otherwise(F.array(F.lit(0)))
+    every = counted.select(*(c for c in counted.columns if c != "n"), F.explode(lanes).alias("__lane"))
+    return dealt.join(every, [*keys, "__lane"]).drop("__lane")

@@ -15,8 +15,14 @@ the strings are dealt out by content first, without missing any:
    suffix array by Larsson-Sadakane refinement and its common prefixes by Kasai's
    method; runs of suffixes with LENGTH bytes in common are strings that repeat.
 4. An anchor with very many fragments is split over several shards. Each hands
-   on its strings, in ranges of their hash; for each range the shards' sorted
-   runs are merged by binary search.
+   on its distinct strings as one sorted run of 128-bit keys, cut in ranges, with
+   the places that it could not decide; for each range the runs are merged and
+   the places looked up by binary search.
+
+Strings are compared byte by byte within a shard. Two hashes decide elsewhere:
+equal fragments have 128 bits in common (anchor and content), equal strings of a
+split anchor another 128. Among n fragments a false match has a chance of about
+n squared in 2**129: 1 in 10**13 for 100 TB, a fragment every 50 bytes.
 
 Each string of the corpus lies in one fragment only, so two equal ones are two
 places. Texts move to their fragments' and to their removals' rows by row key.
@@ -38,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, settle, table, with_row_key
+from quillspark.llm.common import discard, join_counted, map_batches, settle, table, with_row_key
 
 LENGTH, ANCHOR = 200, 56
 SPAN = LENGTH - ANCHOR + 1
@@ -48,7 +54,7 @@ _BLOCK = (1 << _PLACE_BITS) - LENGTH
 MOST_FRAGMENTS, SHARD_BYTES = 2048, 2 << 20
 
 _rng = np.random.default_rng(20)
-_LETTER = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LETTERS = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = []
 
@@ -77,7 +83,7 @@ def fragments_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(data)
     power, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_LETTER[data] * power[:n], out=sums[1:])
+    np.cumsum(_LETTERS[0][data] * power[:n], out=sums[1:])
     hashes = _mixed((sums[ANCHOR:] - sums[:-ANCHOR]) * inverse[: n - ANCHOR + 1])
     low = np.uint64((1 << _PLACE_BITS) - 1)
     least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
@@ -149,25 +155,31 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(data: bytes, order: np.ndarray, limit: int = LENGTH) -> np.ndarray:
-    """Kasai's method: bytes that each suffix has in common with the one before it in order, ``limit`` at most."""
+def common_prefixes(data: bytes, order: np.ndarray, wanted: np.ndarray, limit: int = LENGTH) -> np.ndarray:
+    """Kasai's method: bytes that each suffix has in common with the one before it in order, ``limit`` at most.
+
+    Only the wanted places in order are looked at, the others count as 0. What a
+    suffix has in common less one is what the next one has at least; where the
+    walk jumps over unwanted suffixes it begins at 0 again.
+    """
     n = len(data)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.arange(n)
     before = np.full(n, -1, np.int64)
-    before[order[1:]] = order[:-1]
-    common, length = [0] * n, 0
-    for i, j in enumerate(before.tolist()):
-        if j < 0:
-            length = 0
-            continue
-        most = min(limit, n - max(i, j))
-        while length < most and data[i + length] == data[j + length]:
-            length += 1
-        common[i] = length
-        if length:
-            length -= 1
-    return np.array(common, np.int64)[order]
+    at = np.flatnonzero(wanted[1:]) + 1
+    before[order[at]] = order[at - 1]
+    places = np.flatnonzero(before >= 0)
+    common, length, last = np.zeros(n, np.int64), 0, -2
+    made = []
+    for i, j in zip(places.tolist(), before[places].tolist()):
+        length = length - 1 if length and i == last + 1 else 0
+        last, most = i, min(limit, n - max(i, j))
+        if data[i + length : i + most] == data[j + length : j + most]:
+            length = most
+        else:
+            while data[i + length] == data[j + length]:
+                length += 1
+        made.append(length)
+    common[places] = made
+    return common[order]
 
 
 def repeated_strings(parts: list[bytes]) -> list[np.ndarray]:
@@ -177,9 +189,16 @@ def repeated_strings(parts: list[bytes]) -> list[np.ndarray]:
     data = np.frombuffer(joined, np.uint8)
     ends = np.cumsum(sizes)
     order = suffix_array(data)
-    same = common_prefixes(joined, order) >= LENGTH
-    run = np.cumsum(~same) - 1
     whole = np.repeat(ends, sizes)[order] - order >= LENGTH
+    # Only neighbours whose strings have equal keys can be equal; these are compared byte by byte.
+    keys = np.zeros(len(data), np.uint64)
+    if len(data) >= LENGTH:
+        keys[: len(data) - LENGTH + 1] = _string_keys(data, 0)
+    keys = keys[order]
+    inside = order <= len(data) - LENGTH
+    wanted = np.concatenate([[False], inside[1:] & inside[:-1] & (keys[1:] == keys[:-1])])
+    same = common_prefixes(joined, order, wanted) >= LENGTH
+    run = np.cumsum(~same) - 1
     members = np.bincount(run[whole], minlength=run[-1] + 1)
     again = np.zeros(len(data), bool)
     again[order] = whole & (members[run] > 1)
@@ -196,39 +215,94 @@ def _ranges(places: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), (lasts + LENGTH).tolist()))
 
 
-def _string_keys(part: bytes) -> np.ndarray:
-    data = np.frombuffer(part, np.uint8)
+def _string_keys(data: np.ndarray, k: int) -> np.ndarray:
+    """Key k (0 or 1) of every string of LENGTH bytes."""
     power, inverse = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LETTER[data] * power[: len(data)], out=sums[1:])
-    return _mixed((sums[LENGTH:] - sums[:-LENGTH]) * inverse[: len(data) - LENGTH + 1]).view(np.int64)
+    np.cumsum(_LETTERS[k][data] * power[: len(data)], out=sums[1:])
+    return _mixed((sums[LENGTH:] - sums[:-LENGTH]) * inverse[: len(data) - LENGTH + 1])
+
+
+_PLACE = np.dtype([("row", "<i8"), ("begin", "<i8"), ("key", "<i4")])
+_KEY = np.dtype([("one", "<u8"), ("two", "<u8")])
+_SEARCHED = ["row", "begin", "end", "anchor", "lane", "keys", "places"]
+
+
+def _run_of(frame: pd.DataFrame, found: list[np.ndarray], lanes: int) -> list[tuple[int, bytes, bytes]]:
+    """Of fragments with one anchor: by range of keys the sorted distinct keys of their strings, and the places left open."""
+    keys, places = [], []
+    for row, begin, n, part, known in zip(frame["row"], frame["begin"], frame["n"], frame["bytes"], found):
+        data = np.frombuffer(part, np.uint8)
+        made = np.empty(len(data) - LENGTH + 1, _KEY)
+        made["one"], made["two"] = _string_keys(data, 0), _string_keys(data, 1)
+        open_ = np.ones(len(made), bool) if n == 1 else np.zeros(len(made), bool)
+        open_[known] = False
+        where = np.zeros(len(made), _PLACE)
+        where["row"], where["begin"], where["key"] = row, begin + np.arange(len(made)), np.where(open_, 0, -1)
+        keys.append(made)
+        places.append(where)
+    joined, where = np.concatenate(keys), np.concatenate(places)
+    order = np.lexsort((joined["two"], joined["one"]))
+    joined = joined[order]
+    first = np.concatenate([[True], joined[1:] != joined[:-1]])
+    number = np.cumsum(first) - 1
+    where = where[order]
+    where["key"] = np.where(where["key"] < 0, -1, number)
+    where, distinct = where[where["key"] >= 0], joined[first]
+    lane = np.minimum(distinct["one"] // np.uint64(-(-(1 << 64) // lanes)), np.uint64(lanes - 1)).astype(np.int64) if lanes > 1 else np.zeros(len(distinct), np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]])).tolist() + [len(lane)]
+    runs = []
+    for a, b in zip(cuts, cuts[1:]):
+        low, high = np.searchsorted(where["key"], [a, b])
+        inside = where[low:high].copy()
+        inside["key"] -= a
+        runs.append((int(lane[a]), distinct[a:b].tobytes(), inside.tobytes()))
+    return runs
 
 
 def _search_shard(frame: pd.DataFrame) -> pd.DataFrame:
-    """Ranges that repeat within a shard, of fragments that occur once; keys of split anchors' other strings."""
-    rows: list[tuple] = []
+    """Ranges that repeat within a shard, of fragments that occur once; runs of the strings of split anchors."""
     found = repeated_strings(frame["bytes"].tolist())
-    for row, begin, n, lanes, anchor, part, places in zip(
-        frame["row"], frame["begin"], frame["n"], frame["lanes"], frame["anchor"], frame["bytes"], found
-    ):
+    rows: list[tuple] = []
+    for row, begin, n, places in zip(frame["row"], frame["begin"], frame["n"], found):
         if n == 1:
             rows += [(row, begin + a, begin + b, None, None, None, None) for a, b in _ranges(places)]
-        if lanes > 1:
-            keys = _string_keys(part)
-            for place, key in enumerate(keys.tolist()):
-                rows.append((row, begin + place, begin + place + LENGTH, anchor, key, key % lanes, n))
-    return pd.DataFrame(rows, columns=["row", "begin", "end", "anchor", "key", "lane", "n"])
+    split = np.flatnonzero(frame["lanes"].to_numpy() > 1)
+    for anchor, part in frame.iloc[split].groupby("anchor"):
+        known = [found[i] for i in part.index]
+        for lane, keys, places in _run_of(part, known, int(part["lanes"].iloc[0])):
+            rows.append((None, None, None, anchor, lane, keys, places))
+    return pd.DataFrame(rows, columns=_SEARCHED).astype({c: "Int64" for c in _SEARCHED[:5]})
 
 
 def _merge_runs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of the strings with one anchor in one range of hashes: those of fragments that occur once, found in another shard's run."""
-    runs = {lane: np.sort(part["key"].to_numpy()) for lane, part in frame.groupby("shard")}
-    keys = frame["key"].to_numpy()
-    again = np.zeros(len(frame), bool)
-    for lane, run in runs.items():
-        at = np.minimum(np.searchsorted(run, keys), len(run) - 1)
-        again |= (run[at] == keys) & (frame["shard"].to_numpy() != lane)
-    return frame.loc[again & (frame["n"].to_numpy() == 1), ["row", "begin", "end"]]
+    """Of the strings with one anchor in one range of keys: the open places of those in the runs of two shards or more."""
+    runs = [np.frombuffer(k, _KEY) for k in frame["keys"]]
+    keys = np.concatenate(runs)
+    keys = keys[np.lexsort((keys["two"], keys["one"]))]
+    twice = keys[1:][keys[1:] == keys[:-1]]
+    twice = twice[np.concatenate([[True], twice[1:] != twice[:-1]])] if len(twice) else twice
+    rows = [np.zeros(0, np.int64)]
+    begins = [np.zeros(0, np.int64)]
+    for run, packed in zip(runs, frame["places"]):
+        places = np.frombuffer(packed, _PLACE)
+        if not len(twice) or not len(places):
+            continue
+        wanted = run[places["key"]]
+        at = np.searchsorted(twice["one"], wanted["one"])
+        again = np.zeros(len(places), bool)
+        while True:  # a second turn only where first halves of keys collide
+            inside = at < len(twice)
+            near = twice[np.minimum(at, len(twice) - 1)]
+            again |= inside & (near == wanted)
+            more = inside & ~again & (near["one"] == wanted["one"])
+            if not more.any():
+                break
+            at = at + more
+        rows.append(places["row"][again])
+        begins.append(places["begin"][again])
+    begin = np.concatenate(begins)
+    return pd.DataFrame({"row": np.concatenate(rows), "begin": begin, "end": begin + LENGTH})
 
 
 def _release(spark: SparkSession) -> None:
@@ -238,22 +312,26 @@ def _release(spark: SparkSession) -> None:
 
 
 def repeated_ranges(keyed: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
-    """row, begin, end of ranges of bytes to remove; keyed has row and text. Ranges may overlap."""
+    """row and its ranges (begin, end) of bytes to remove, settled; keyed has row and text. Ranges may overlap."""
     spark = keyed.sparkSession
     every = settle(fragments(keyed))
-    twice = every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
-    shared = settle(every.join(twice, "anchor", "left_semi"))
+    twice = settle(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = settle(join_counted(every, twice, ["anchor"], ["row", "begin"]))
+    discard(every, twice)
     _release(spark)
     kinds = settle(
         shared.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("row", "begin", "size")).alias("one"))
     )
-    full = shared.join(kinds.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
-    full = full.select("row", "begin", (F.col("begin") + F.col("size")).alias("end"))
-
-    variants = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    lanes = F.ceil(F.col("kinds") / most).cast("int")
-    edges = kinds.join(variants, "anchor").select("one.*", "anchor", "content", "n", lanes.alias("lanes"))
-    edges = settle(edges)
+    copied = settle(kinds.where("n > 1").select("anchor", "content", "n"))
+    full = join_counted(shared, copied, ["anchor", "content"], ["row", "begin"])
+    full = settle(full.select("row", "begin", (F.col("begin") + F.col("size")).alias("end")))
+    discard(shared, copied)
+
+    lanes = F.ceil(F.col("n") / most).cast("int")
+    variants = settle(kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").withColumn("lanes", lanes))
+    once = kinds.select("one.*", "anchor", "content", F.col("n").alias("times"))
+    edges = settle(join_counted(once, variants, ["anchor"], ["content"]).withColumnRenamed("times", "n"))
+    discard(kinds, variants)
     total = edges.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).head().b
     shards = max(1, -(-total // SHARD_BYTES))
     wanted = edges.groupBy("row").agg(F.collect_list(F.struct("begin", "size", "anchor", "content", "n", "lanes")).alias("cuts"))
@@ -262,15 +340,16 @@ def repeated_ranges(keyed: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
     shard = F.pmod(F.xxhash64("anchor", F.pmod("content", "lanes")), F.lit(shards))
     pieces = pieces.withColumn("shard", shard).select("shard", "row", "begin", "anchor", "n", "lanes", "bytes")
 
-    def search(key, frame: pd.DataFrame) -> pd.DataFrame:
-        return _search_shard(frame).assign(shard=key[0])
-
-    schema = "row long, begin long, end long, anchor long, key long, lane long, n long, shard long"
-    searched = settle(pieces.groupBy("shard").applyInPandas(search, schema))
+    schema = "row long, begin long, end long, anchor long, lane long, keys binary, places binary"
+    searched = settle(pieces.groupBy("shard").applyInPandas(_search_shard, schema))
+    discard(edges)
     _release(spark)
     inside = searched.where("anchor IS NULL").select("row", "begin", "end")
     across = searched.where("anchor IS NOT NULL").groupBy("anchor", "lane").applyInPandas(_merge_runs, "row long, begin long, end long")
-    return full.union(inside).union(across)
+    found = full.union(inside).union(across)
+    by_row = settle(found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("ranges")))
+    discard(full, searched)
+    return by_row
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -295,8 +374,7 @@ def remove_ranges(raw: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int
 def dedup_report(docs: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of what is left, of every document."""
     keyed = with_row_key(docs.select("doc_id", "text"), "row")
-    found = repeated_ranges(keyed.select("row", "text"), most)
-    by_row = settle(found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("ranges")))
+    by_row = repeated_ranges(keyed.select("row", "text"), most)
     _release(docs.sparkSession)
     joined = keyed.join(by_row, "row", "left").select("doc_id", "text", "ranges")
 

@@ -250,13 +250,25 @@ def test_removal_equals_brute_force(stored):
         assert {r.doc_id: tuple(r)[1:] for r in suffixes.dedup_report(docs, most).collect()} == want
 
 
+def test_removal_with_one_anchor_of_thousands_of_variants(stored):
+    """Heads and tails of few kinds around one passage: most texts differ, and strings repeat across the shards of its anchor."""
+    random.seed(19)
+    heads, tails = ([bytes(random.choices(range(97, 123), k=60)).decode() for _ in range(90)] for _ in "ab")
+    middle = bytes(random.choices(range(97, 123), k=130)).decode()
+    texts = [h[random.randrange(12) :] + middle + t[: random.randint(30, 60)] for h in heads for t in tails[:60]]
+    docs = stored([(i, t, "s", 1, "") for i, t in enumerate(texts)], DOCS)
+    want = dict(enumerate(brute_removal(texts)))
+    assert len(set(texts)) > 5000 and any(w[1] == 0 for w in want.values())
+    assert {r.doc_id: tuple(r)[1:] for r in suffixes.dedup_report(docs).collect()} == want
+
+
 def test_suffix_array_and_prefixes():
     random.seed(10)
     for _ in range(40):
         data = bytes(random.choices(b"ab", k=random.randint(1, 120)))
         order = suffixes.suffix_array(np.frombuffer(data, np.uint8))
         assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
-        common = suffixes.common_prefixes(data, order, 1000)
+        common = suffixes.common_prefixes(data, order, np.ones(len(data), bool), 1000)
         for k in range(1, len(data)):
             a, b = data[order[k - 1] :], data[order[k] :]
             assert common[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
