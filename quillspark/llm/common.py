@@ -9,7 +9,7 @@ from functools import reduce
 from operator import and_
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run of characters other than ASCII white space.
@@ -120,10 +120,11 @@ def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
     if not _is_scan(df):
         return settle(df.withColumn(name, F.monotonically_increasing_id()))
     path, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    paths = sorted(r[0] for r in df.select(path).distinct().collect())
-    if len(paths) < 2:
+    paths = settle(df.select(path.alias("__path")).distinct())
+    if paths.count() < 2:
         return df.withColumn(name, at)
-    numbers = df.sparkSession.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+    number = F.row_number().over(Window.orderBy("__path")) - 1  # a row a file
+    numbers = settle(paths.select("__path", number.cast("long").alias("__file")))
     keyed = df.select("*", path.alias("__of"), at.alias(name)).join(F.broadcast(numbers), F.col("__of") == F.col("__path"))
     return keyed.select(*df.columns, F.shiftleft("__file", 40).bitwiseOR(F.col(name)).alias(name))
 

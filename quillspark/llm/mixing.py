@@ -7,6 +7,11 @@ again until no share is above its clamp. A share of e epochs takes each
 document floor(e) times, and once more those documents of the source that come
 first in a seeded order, until the remaining fraction is used up.
 
+Sources may be as many as they like: they are a table, ranked and weighed by
+ranges, and a round of water-filling is a sum over it, of which one row comes
+to the driver. Where the fraction of a source ends is found by descending
+through bins of the seeded order, so no task sorts more than a sliver of a source.
+
 Edge cases: a null text has no words; rows without a source form a source of
 their own, which comes last; an empty table gives an empty result; repeated
 rows fall on the same place of the seeded order and share one decision; a
@@ -15,44 +20,16 @@ source without words takes none. Extra columns stay, whatever their names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from quillspark.llm.common import WORD, settle, table, word_count
-
-#: The hash places of the seeded order: 15 hexadecimal digits, the first 3 of which name a bin.
-PLACE_DIGITS, BIN_DIGITS = 15, 3
-
-
-@dataclass(frozen=True)
-class Share:
-    """What one source gives to the mix."""
 
-    source: str | None
-    size: int
-    weight: int
-    target: float
-    whole: int
-    quota: float
+from quillspark.llm.common import WORD, discard, join_counted, settle, table, word_count
 
-
-def water_fill(sizes: list[int], weights: list[int], budget: int, max_epochs: int) -> list[tuple[int, int]]:
-    """Targets as exact fractions (numerator, denominator), in the order given.
-
-    With a budget of at most max_epochs times all sizes the targets add up to it.
-    """
-    caps = [max_epochs * s for s in sizes]
-    clamped: set[int] = set()
-    while True:
-        rest = max(0, budget - sum(caps[i] for i in clamped))
-        weight = sum(w for i, w in enumerate(weights) if i not in clamped)
-        above = {i for i, w in enumerate(weights) if i not in clamped and w * rest > caps[i] * weight}
-        if not above:
-            return [(caps[i], 1) if i in clamped else (w * rest, max(1, weight)) for i, w in enumerate(weights)]
-        clamped |= above
+#: The hash places of the seeded order: 15 hexadecimal digits, taken BIN_DIGITS at a time for LEVELS levels of bins.
+PLACE_DIGITS, BIN_DIGITS, LEVELS = 15, 3, 2
+#: Tables with a row a source are sent to all tasks up to so many rows, and joined by source beyond.
+MOST_SENT, RANKED_ROWS = 50_000, 100_000
+KEYS = ["none", "name"]
 
 
 def place(seed: int, doc_id: Column, text: Column) -> Column:
@@ -62,103 +39,139 @@ def place(seed: int, doc_id: Column, text: Column) -> Column:
     return F.conv(digits, 16, 10).cast("long")
 
 
+def sized_rows(docs: DataFrame, seed: int) -> DataFrame:
+    """doc_id, the source as (none, name), size and place of every document."""
+    source = F.col("source")
+    size, at = word_count(F.col("text")), place(seed, F.col("doc_id"), F.col("text"))
+    return docs.select("doc_id", source.isNull().alias("none"), F.coalesce(source, F.lit("")).alias("name"), size.alias("size"), at.alias("place"))
+
+
+def of_source(rows: DataFrame, sources: DataFrame, few: bool, spread: list[str]) -> DataFrame:
+    """rows with the columns of a settled table of sources, which has n, the rows of each."""
+    if few:
+        return rows.join(F.broadcast(sources.drop("n")), KEYS)
+    return join_counted(rows, sources, KEYS, spread)
+
+
+def weighed(sized: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """none, name, n, size and weight of every source, settled; in code point order, null last, they weigh ``weights``, repeating."""
+    sums = settle(sized.groupBy(*KEYS).agg(F.sum("size").alias("size"), F.count("*").alias("n")))
+    ranges = -(-sums.count() // RANKED_ROWS) or 1
+    ranged = settle(sums.repartitionByRange(ranges, *KEYS).withColumn("part", F.spark_partition_id()))
+    by_part = sorted((r.part, r["count"]) for r in ranged.groupBy("part").count().collect())  # a row a range
+    before = [(part, sum(c for _, c in by_part[:k])) for k, (part, _) in enumerate(by_part)]
+    offsets = sized.sparkSession.createDataFrame(before, "part int, before long")
+    number = F.row_number().over(Window.partitionBy("part").orderBy(*KEYS)) - 1 + F.col("before")
+    weight = F.get(F.array(*map(F.lit, weights)), F.pmod(number, F.lit(len(weights))).cast("int"))
+    made = settle(ranged.join(F.broadcast(offsets), "part").select(*KEYS, "n", "size", weight.cast("long").alias("weight")))
+    discard(sums, ranged)
+    return made
+
+
+def water_fill(sources: DataFrame, max_epochs: int, budget: int | None = None) -> DataFrame:
+    """The sources (with size and weight) with target, whole repetitions and quota, the words of the fraction that is left.
+
+    A round clamps the sources whose share is above their clamp. As that raises
+    the share of the others, a source once clamped stays so, and the rounds end.
+    """
+    wide = lambda c: c.cast("decimal(19,0)")
+    cap, weight = F.col("size") * max_epochs, F.col("weight")
+    sums = sources.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.coalesce(F.sum("weight"), F.lit(0)).alias("weight")).head()
+    budget = sums["size"] if budget is None else budget
+    rest, open_weight, clamped = budget, sums.weight, 0
+    while True:
+        above = wide(weight) * wide(F.lit(rest)) > wide(cap) * wide(F.lit(open_weight))
+        now = sources.agg(F.count_if(above).alias("n"), F.sum(F.when(above, cap)).alias("cap"), F.sum(F.when(~above, weight)).alias("weight")).head()
+        if now.n == clamped:
+            break
+        rest, open_weight, clamped = max(0, budget - now.cap), now.weight or 0, now.n
+    part, parts = wide(weight) * wide(F.lit(rest)), F.lit(max(1, open_weight)).cast("long")
+    shared = sources.withColumns({"above": above, "part": part, "whole": F.lit(0)})
+    whole = F.when(F.col("size") == 0, 0).when(F.col("above"), max_epochs).otherwise(F.expr(f"part div (size * CAST({max(1, open_weight)} AS DECIMAL(19,0)))"))
+    shared = shared.withColumn("whole", F.least(whole.cast("long"), F.lit(max_epochs).cast("long")))
+    target = F.when(F.col("above"), cap.cast("double")).otherwise(F.col("part").cast("double") / parts)
+    left = F.col("part") - wide(F.col("whole")) * wide(F.col("size")) * wide(parts)
+    quota = F.when(F.col("above"), 0.0).otherwise(left.cast("double") / parts)
+    return shared.select(*sources.columns, target.alias("target"), "whole", quota.alias("quota"))
+
+
+def fraction_ends(sized: DataFrame, shares: DataFrame, few: bool) -> DataFrame:
+    """none, name, n and last: the last place of the seeded order that each source's fraction takes, settled."""
+    ends = shares.select(*KEYS, "n", F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("before"), "quota")
+    shift, made = 4 * PLACE_DIGITS, None
+    for _ in range(LEVELS):
+        inside = of_source(sized, ends, few, ["place"]).where(F.shiftright("place", shift) == F.col("bin")) if made is not None else of_source(sized, ends, few, ["place"])
+        shift -= 4 * BIN_DIGITS
+        by_bin = inside.groupBy(*KEYS, F.shiftright("place", shift).alias("bin")).agg(
+            F.sum("size").alias("size"), F.min("before").alias("base"), F.min("quota").alias("quota")
+        )
+        order = Window.partitionBy(*KEYS).orderBy("bin")  # 16**BIN_DIGITS bins of a source at most
+        by_bin = by_bin.withColumn("before", F.col("base") + F.sum("size").over(order) - F.col("size"))
+        crossing = by_bin.where("before < quota").groupBy(*KEYS).agg(F.max(F.struct("bin", "before", "quota")).alias("c"))
+        further = settle(shares.select(*KEYS, "n").join(crossing, KEYS).select(*KEYS, "n", "c.*"))
+        if made is not None:
+            discard(made)
+        ends = made = further
+    inside = of_source(sized, ends, few, ["place"]).where(F.shiftright("place", shift) == F.col("bin"))
+    upto = F.col("before") + F.sum("size").over(Window.partitionBy(*KEYS).orderBy("place").rangeBetween(Window.unboundedPreceding, 0))
+    fits = 2 * F.col("upto") - F.col("size") <= 2 * F.col("quota")
+    reached = inside.withColumn("upto", upto).groupBy(*KEYS).agg(F.max(F.when(fits, F.col("place"))).alias("reached"))
+    last = F.coalesce("reached", F.shiftleft("bin", shift) - 1)
+    settled = settle(ends.join(reached, KEYS).select(*KEYS, last.alias("last")))
+    discard(made)
+    return settled
+
+
 class SourceMix:
-    """A fitted mix: one Share and one last place in the seeded order a source."""
+    """A fitted mix: a settled row a source with its size, target, whole repetitions and last place of the fraction."""
 
-    def __init__(self, shares: list[Share], last: dict[str | None, int], seed: int):
-        self.shares, self.last, self.seed = shares, last, seed
+    def __init__(self, sources: DataFrame, few: bool):
+        self.sources, self.few = sources, few
 
     @staticmethod
-    def fit(sized: DataFrame, weights=(5, 2, 1), max_epochs: int = 3, seed: int = 7, max_sources: int = 1_000_000) -> "SourceMix":
-        """Fit on rows of (source, size, place).
-
-        Sources in code point order weigh ``weights``, repeating. One row a
-        source comes to the driver; more than ``max_sources`` of them raise.
-        """
-        bins = F.shiftright("place", 4 * (PLACE_DIGITS - BIN_DIGITS))
-        stats = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(max_sources + 1).collect()
-        if len(stats) > max_sources:
-            raise ValueError(f"more than {max_sources} sources")
-        stats.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
-        size = [r["size"] for r in stats]
-        weight = [weights[i % len(weights)] for i in range(len(stats))]
-        shares = []
-        for r, w, (num, den) in zip(stats, weight, water_fill(size, weight, sum(size), max_epochs)):
-            whole = min(max_epochs, num // (den * r["size"])) if r["size"] else 0
-            shares.append(Share(r.source, r["size"], w, num / den, whole, (num - whole * den * r["size"]) / den))
-        spark = sized.sparkSession
-        if not shares:
-            return SourceMix([], {}, seed)
-        quota = F.broadcast(
-            spark.createDataFrame([(s.source, s.quota) for s in shares], "q_source string, quota double")
-        )
-        # Where the fraction of each source ends: first the bin, from sums by bin, then the place in that bin.
-        by_bin = sized.groupBy("source", bins.alias("bin")).agg(F.sum("size").alias("size"))
-        before = F.sum("size").over(Window.partitionBy("source").orderBy("bin")) - F.col("size")
-        crossing = (
-            by_bin.select("source", "bin", "size", before.alias("before"))
-            .join(quota, F.col("source").eqNullSafe(F.col("q_source")))
-            .where("before < quota")
-            .groupBy(F.col("source").alias("c_source"))
-            .agg(F.max_by(F.struct("bin", "before", "quota"), "bin").alias("c"))
-            .select("c_source", F.col("c.bin").alias("c_bin"), F.col("c.before").alias("before"), F.col("c.quota").alias("quota"))
-        )
-        crossing = F.broadcast(spark.createDataFrame(crossing.collect(), "c_source string, c_bin long, before long, quota double"))
-        upto = F.sum("size").over(Window.partitionBy("source").orderBy("place").rangeBetween(Window.unboundedPreceding, 0))
-        inside = (
-            sized.join(crossing, F.col("source").eqNullSafe(F.col("c_source")) & (bins == F.col("c_bin")))
-            .select("source", "place", "size", "quota", "c_bin", (F.col("before") + upto).alias("upto"))
-            .groupBy("source")
-            .agg(
-                F.max(F.when(2 * F.col("upto") - F.col("size") <= 2 * F.col("quota"), F.col("place"))).alias("last"),
-                F.min("c_bin").alias("c_bin"),
-            )
-        )
-        first_of = 16 ** (PLACE_DIGITS - BIN_DIGITS)
-        last = {r.source: r["last"] if r["last"] is not None else r.c_bin * first_of - 1 for r in inside.collect()}
-        return SourceMix(shares, last, seed)
-
-    def plan(self, spark: SparkSession) -> DataFrame:
-        """One row a source: source_size, target, whole repetitions, last place of the fraction."""
-        schema = "m_source string, source_size long, target double, whole long, last long"
-        return spark.createDataFrame([(s.source, s.size, s.target, s.whole, self.last.get(s.source, -1)) for s in self.shares], schema)
-
-    def copies(self, rows: DataFrame) -> DataFrame:
-        """Add m_source, source_size, target and copies to rows that have source and place."""
-        joined = rows.join(F.broadcast(self.plan(rows.sparkSession)), F.col("source").eqNullSafe(F.col("m_source")))
+    def fit(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, most_sent: int = MOST_SENT) -> "SourceMix":
+        """Fit on rows of (none, name, size, place)."""
+        sources = weighed(sized, weights)
+        few = sources.count() <= most_sent
+        shares = settle(water_fill(sources, max_epochs))
+        ends = fraction_ends(sized, shares, few)
+        fitted = shares.join(ends, KEYS, "left").select(*KEYS, "n", F.col("size").alias("source_size"), "target", "whole", F.coalesce("last", F.lit(-1)).alias("last"))
+        fitted = settle(fitted)
+        discard(sources, shares, ends)
+        return SourceMix(fitted, few)
+
+    def copies(self, rows: DataFrame, spread: list[str]) -> DataFrame:
+        """Add source_size, target and copies to rows that have none, name and place."""
         copies = F.col("whole") + F.when(F.col("place") <= F.col("last"), 1).otherwise(0)
-        return joined.withColumn("copies", copies)
-
-
-def sized_rows(docs: DataFrame, seed: int) -> DataFrame:
-    return docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), place(seed, F.col("doc_id"), F.col("text")).alias("place")
-    )
+        return of_source(rows, self.sources, self.few, spread).withColumn("copies", copies)
 
 
-def mix_plan(docs: DataFrame, weights=(5, 2, 1), max_epochs: int = 3, seed: int = 7) -> DataFrame:
+def mix_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 7, most_sent: int = MOST_SENT) -> DataFrame:
     """doc_id, size, source_size, target, taken and copies of every document.
 
     The texts are read once; only a few columns a document are kept for the rest.
     """
     sized = settle(sized_rows(docs, seed))
-    mixed = SourceMix.fit(sized, weights, max_epochs, seed).copies(sized)
+    mixed = SourceMix.fit(sized, weights, max_epochs, most_sent).copies(sized, ["place"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-def mix_documents(docs: DataFrame, weights=(5, 2, 1), max_epochs: int = 3, seed: int = 7) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 7, most_sent: int = MOST_SENT) -> DataFrame:
     """The mix itself: every document as many times as it is taken, with the columns it had.
 
     Documents without words take no room in the mix; they stay once. The
-    decision hangs on a row and its source's share alone, so texts are not shuffled.
+    decision hangs on a row and its source's share alone, so texts are not
+    shuffled where the sources are few enough to be sent.
     """
     sized = settle(sized_rows(docs, seed))
-    fitted = SourceMix.fit(sized, weights, max_epochs, seed)
+    fitted = SourceMix.fit(sized, weights, max_epochs, most_sent)
+    source = F.col("source")
     inner = docs.select(
-        F.struct("*").alias("doc"), F.col("source"), word_count(F.col("text")).alias("size"), place(seed, F.col("doc_id"), F.col("text")).alias("place")
-    )
+        F.struct("*").alias("doc"), source.isNull().alias("none"), F.coalesce(source, F.lit("")).alias("name"),
+        word_count(F.col("text")).alias("size"), place(seed, F.col("doc_id"), F.col("text")).alias("place"),
+    )
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int")
-    repeated = fitted.copies(inner).select("doc", F.explode(F.array_repeat(F.lit(0), times)).alias("again"))
+    repeated = fitted.copies(inner, ["place"]).select("doc", F.explode(F.array_repeat(F.lit(0), times)).alias("again"))
     return repeated.select("doc.*")
 
 

@@ -15,13 +15,14 @@ ascending order of doc_id: one file a range of ids, so that files, segments and
 documents in them follow one another. Any store that Spark writes to will do.
 
 Edge cases: a null or empty text has the end id alone; null ids come last;
-documents with one id are ordered by a hash of their texts, repeated rows in any
-order as they are alike; an empty table gives an empty result; a document larger
+documents with one id are ordered by a hash of their texts, repeated rows as they
+are read; an empty table gives an empty result; a document larger
 than a segment gets a segment of its own; extra columns are left alone.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -37,9 +38,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.chunks import PieceMemory
-from quillspark.llm.common import BATCH_BYTES, BATCH_ROWS, settle, table
+from quillspark.llm.common import bounded, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
+#: Bytes of input that a shard takes; small inputs have more shards than that, for all cores to work.
+SHARD_BYTES = 256 << 20
 _HEAD = struct.Struct("<4sIQII")
 
 
@@ -132,7 +135,8 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Strings that the library looks for before it splits a text; a text with one goes to it whole.
+        self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.letters: dict[int, str] = {}
         if self.tokenizer.normalizer is None and cut is not None:  # else pre-tokens are not what they seem
@@ -155,6 +159,8 @@ class LibraryEncoder:
         """The ids of each text of a column; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        if self.added:
+            odd = odd | pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
         out: list = [None] * len(texts)
         for k in np.flatnonzero(odd).tolist():
             out[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, np.uint32)
@@ -214,10 +220,7 @@ def packed_segments(
 
     Texts move once, to the range of ids they belong to, and are tokenised there.
     """
-    conf = docs.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("row")]  # the row, lest equal rows meet in one shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, before = encoder(), TaskContext.get().partitionId(), 0
@@ -229,7 +232,7 @@ def packed_segments(
             arrays = [[shard], [before], [names], [n], [write_segment(held, width)]]
             return pa.record_batch([pa.array(a, f.type) for a, f in zip(arrays, _ARROW)], schema=_ARROW)
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in bounded(whole)):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 ids = np.append(ids, np.uint32(end_id))
                 if held and n + len(ids) > SEGMENT_IDS:
@@ -241,8 +244,9 @@ def packed_segments(
         if held:
             yield segment()
 
-    ranged = docs.select("doc_id", "text").repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    return ranged.mapInArrow(run, FILE_SCHEMA)
+    keyed = with_row_key(docs.select("doc_id", "text"), "row")
+    ranged = keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    return ranged.select("doc_id", "text").mapInArrow(run, FILE_SCHEMA)
 
 
 def read_packed(segments: DataFrame) -> DataFrame:
@@ -251,8 +255,6 @@ def read_packed(segments: DataFrame) -> DataFrame:
     totals = sorted((r.shard, r.n) for r in segments.groupBy("shard").agg(F.sum("n_ids").alias("n")).collect())  # a row a file
     bases = accumulate([n for _, n in totals], initial=0)
     base = spark.createDataFrame([(shard, b) for (shard, _), b in zip(totals, bases)], "b_shard int, base long")
-    conf = spark.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows of some MB each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +278,8 @@ def read_packed(segments: DataFrame) -> DataFrame:
 
 def write_library_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """Tokenise with the library, write the files to the shared folder, and give them to read."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    shards = max(-(-size // SHARD_BYTES), 4 * docs.sparkSession.sparkContext.defaultParallelism)
     width = width_of(vocabulary_size(path))
     return settle(packed_segments(docs, lambda: library_encoder(path).batch, width, end_id, shards))
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +61,8 @@ def secret_spans(text: str | None, rules: tuple[Rule, ...] = RULES, scan: Scanne
         if end - (first if rules[rule].of_value else start) >= rules[rule].least:
             found.append((start, rule, end))
     if found and len(data) != len(text):
-        found = [(len(data[:s].decode()), r, len(data[:s].decode()) + e - s) for s, r, e in found]  # matches are ASCII
+        places = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)  # code points up to a byte, itself included
+        found = [(int(places[s]) - 1, r, int(places[s]) - 1 + e - s) for s, r, e in found]  # matches are ASCII
     return sorted(found)
 
 

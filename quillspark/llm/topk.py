@@ -7,9 +7,10 @@ queries' weights, into a dense array of scores, so each pair of query and
 candidate is scored over all its terms. A partition selection keeps the k best
 of each block, and the blocks' lists are merged.
 
-Every block of queries meets every block of candidates exactly once; blocks are
-rows of packed arrays, dealt to tasks by pair, and no pair of single rows is
-ever written out.
+Every block of queries meets every block of candidates exactly once. Blocks are
+rows of packed arrays, and a task takes a group of either kind, GROUP_BLOCKS at
+most: so a block travels once for each group of the other kind and not for each
+block, and no pair of single rows is ever written out.
 
 Edge cases: vectors that are null, or hold null or non-finite components, take
 no part; components a shorter vector lacks count as zero; a null id is never a
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import settle, table, with_row_key
 
-QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+QUERY_BLOCK, CANDIDATE_BLOCK, GROUP_BLOCKS = 512, 4096, 16
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -38,7 +39,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
     """Rows (row, id, weights) of a partition packed to blocks: n, width, rows, ids, weights as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, size) for b in batches for at in range(0, b.num_rows, size)):
             weights = batch.column("weights").to_pylist()
             width = max((len(w) for w in weights), default=0)
             dense = np.zeros((len(weights), width), "<i8")
@@ -50,10 +51,12 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["n", "width", "rows", "ids", "weights"])
 
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
     return settle(rows.mapInArrow(run, "n int, width int, rows binary, ids binary, weights binary"))
 
 
+_BLOCK = ["n", "width", "rows", "ids", "weights"]
+
+
 def _opened(n: int, width: int, rows: bytes, ids: bytes, weights: bytes):
     return np.frombuffer(rows, "<i8"), np.frombuffer(ids, "<i8"), np.frombuffer(weights, "<i8").reshape(n, width)
 
@@ -96,26 +99,36 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256) ->
     rows = keyed.where(F.col("embedding").isNotNull()).where(whole).select("row", F.col("vec_id").alias("id"), weights.alias("weights"))
     candidates = _blocks(rows, CANDIDATE_BLOCK)
     queries = _blocks(rows.where(F.col("id") % every == 0), QUERY_BLOCK)
-    # The blocks of queries are dealt to as many lanes as there are tasks; each block of candidates goes to one lane.
-    lanes = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4096))
-    lane_of = F.pmod(F.xxhash64("rows", "ids"), F.lit(lanes)).cast("int")
-    left = candidates.select(lane_of.alias("lane"), *(F.col(c).alias(f"c_{c}") for c in candidates.columns))
-    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), *(F.col(c).alias(f"q_{c}") for c in queries.columns))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for pair in batch.to_pylist():
-                q_rows, q_ids, q = _opened(*(pair[f"q_{c}"] for c in ("n", "width", "rows", "ids", "weights")))
-                c_rows, c_ids, c = _opened(*(pair[f"c_{c}"] for c in ("n", "width", "rows", "ids", "weights")))
+    # Groups of blocks: as few as their bound allows, but a task for each core where there are blocks enough.
+    n_candidates, n_queries = candidates.count(), queries.count()
+    c_groups = max(1, -(-n_candidates // GROUP_BLOCKS), min(n_candidates, spark.sparkContext.defaultParallelism))
+    q_groups = max(1, -(-n_queries // GROUP_BLOCKS))
+
+    def dealt(blocks: DataFrame, own: str, groups: int, other: str, others: int) -> DataFrame:
+        group = F.pmod(F.xxhash64("rows", "ids"), F.lit(groups)).cast("int")
+        return blocks.withColumn(own, group).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        blocks = [_opened(**block) for block in left.select(_BLOCK).to_pylist()]
+        found = []
+        for block in right.select(_BLOCK).to_pylist():
+            q_rows, q_ids, q = _opened(**block)
+            for c_rows, c_ids, c in blocks:
                 total = scores(q, c)
-                found = best(total, c_ids, q_rows[:, None] == c_rows[None, :], k)
-                owner = np.repeat(np.arange(len(q)), [len(f) for f in found])
-                at = np.concatenate(found) if found else np.zeros(0, int)
-                arrays = [q_rows[owner], q_ids[owner], c_ids[at], c_rows[at], total[owner, at]]
-                yield pa.record_batch([pa.array(a, pa.int64()) for a in arrays], ["q_row", "query_id", "id", "row", "score"])
-
-    partial = left.join(right, "lane").mapInArrow(run, "q_row long, query_id long, id long, row long, score long")
+                chosen = best(total, c_ids, q_rows[:, None] == c_rows[None, :], k)
+                owner = np.repeat(np.arange(len(q)), [len(f) for f in chosen])
+                at = np.concatenate(chosen) if chosen else np.zeros(0, int)
+                found.append(np.stack([q_rows[owner], q_ids[owner], c_ids[at], c_rows[at], total[owner, at]]))
+        made = np.concatenate([np.zeros((5, 0), np.int64), *found], axis=1)
+        order = np.lexsort((made[3], made[2], -made[4], made[0]))  # merge: by query, then score, id and row
+        made = made[:, order]
+        first = np.flatnonzero(np.diff(made[0], prepend=-1))
+        place = np.arange(made.shape[1]) - np.repeat(first, np.diff(first, append=made.shape[1]))
+        return pa.table([pa.array(c, pa.int64()) for c in made[:, place < k]], ["q_row", "query_id", "id", "row", "score"])
+
+    left, right = dealt(candidates, "c", c_groups, "q", q_groups), dealt(queries, "q", q_groups, "c", c_groups)
+    schema = "q_row long, query_id long, id long, row long, score long"
+    partial = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(run, schema)
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), "id", "row")
     merged = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     vec_id = F.when(F.col("id") != int(_NO_ID), F.col("id"))

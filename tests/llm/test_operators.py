@@ -24,11 +24,35 @@ def words(text):
 # ---- 1: mixing ----
 
 
-def test_water_fill():
-    assert mixing.water_fill([10, 10, 100], [5, 2, 1], 120, 3) == [(30, 1), (30, 1), (60, 1)]
-    got = [n / d for n, d in mixing.water_fill([100, 100, 100], [5, 2, 1], 300, 3)]
-    assert got == [187.5, 75.0, 37.5] and sum(got) == 300
-    assert [n for n, _ in mixing.water_fill([0, 0], [5, 2], 0, 3)] == [0, 0]
+def slow_fill(sizes, weights, budget, max_epochs):
+    caps, clamped = [max_epochs * s for s in sizes], set()
+    while True:
+        rest = budget - sum(caps[i] for i in clamped)
+        weight = sum(w for i, w in enumerate(weights) if i not in clamped)
+        above = {i for i, w in enumerate(weights) if i not in clamped and w * rest > caps[i] * weight}
+        if not above:
+            return [caps[i] if i in clamped else w * rest / max(1, weight) for i, w in enumerate(weights)]
+        clamped |= above
+
+
+def test_water_fill(spark):
+    random.seed(2)
+    for sizes in ([10, 10, 100], [100, 100, 100], [0, 0], [int(10 ** random.uniform(0, 6)) for _ in range(300)]):
+        weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+        rows = spark.createDataFrame([(i, s, w) for i, (s, w) in enumerate(zip(sizes, weights))], "i int, size long, weight long")
+        got = sorted((r.i, r.target, r.whole, r.quota) for r in mixing.water_fill(rows, 3).collect())
+        assert [t for _, t, _, _ in got] == pytest.approx(slow_fill(sizes, weights, sum(sizes), 3))
+        assert all(w * s + q == pytest.approx(t) and 0 <= q <= max(s, 0) for (_, t, w, q), s in zip(got, sizes))
+
+
+def test_many_sources_are_joined_like_few(stored):
+    random.seed(5)
+    rows = [(i, "w " * random.randint(0, 9), random.choice([None, "hot", "hot", f"s{i % 50}é"]), 0, "") for i in range(900)]
+    docs = stored(rows, DOCS)
+    few, many = (sorted(map(tuple, mixing.mix_plan(docs, most_sent=m).collect())) for m in (1000, 0))
+    assert few == many and len(few) == 900
+    copies = [sorted(r.doc_id for r in mixing.mix_documents(docs, most_sent=m).collect()) for m in (1000, 0)]
+    assert copies[0] == copies[1]
 
 
 def test_mix_comes_near_its_targets(stored):
@@ -342,8 +366,7 @@ def test_packed_ids_equal_the_library(stored):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    texts = [None, "", "a  b", " x", "x \n y", "é\n", "plain words here", "\n", "漢字 🙂", "w " * 500]
+    texts = [None, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|",  "", "a  b", " x", "x \n y", "é\n", "plain words here", "\n", "漢字 🙂", "w " * 500]
     docs = stored([(i * 3, t, "s", 1, "") for i, t in enumerate(texts)], DOCS)
     start, want = 0, []
     for i, t in enumerate(texts):
