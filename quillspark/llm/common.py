@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -72,6 +73,12 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished work now, not when the driver next collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in slices of BATCH_ROWS rows and, above one row, BATCH_BYTES bytes at most."""
     n = batch.num_rows

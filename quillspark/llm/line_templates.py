@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WORD, discard, join_counted, settle, table, with_row_key
+from quillspark.llm.common import WORD, discard, join_counted, release, settle, table, with_row_key
 
 DEPTH, MIN_TOKENS, MIN_DOCS = 3, 3, 3
 #: Templates of so many tokens recur in two documents already; op5's SQL knows no such rule.
@@ -122,6 +122,7 @@ def dropped_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     occurrences = settle(line_occurrences(keyed, min_tokens))
     live = live_occurrences(occurrences, needed)
     discard(occurrences)
+    release(keyed.sparkSession)
     templates = line_templates(live, needed)
     placed = join_counted(live.select("row", "leaf", "own", "tokens", "place"), templates, ["leaf", "own"], ["row", "place"])
     placed = settle(placed.drop("own"))
@@ -134,6 +135,7 @@ def dropped_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int =
     gone = join_counted(placed, recurring, ["leaf", "template"], ["row", "place"]).where(F.col("place") != F.col("first"))
     made = settle(gone.groupBy("row").agg(F.collect_set("place.at").alias("gone")))
     discard(placed, recurring)
+    release(keyed.sparkSession)
     return made
 
 
@@ -146,7 +148,7 @@ def drop_template_lines(
     keyed = with_row_key(inner, "row")
     gone = dropped_lines(keyed.select("row", "doc_id", "text"), min_docs, min_tokens, long_tokens)
     cut = keyed.select("row", "others", _lines(F.col("text")).alias("lines"))
-    joined = cut.join(gone, "row", "left")
+    joined = cut.join(gone.hint("merge"), "row", "left")  # alike at every size
     # Places left, by one hash set a document; then lines by place.
     left = joined.withColumn("left", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>"))))
     kept = F.array_join(F.transform("left", lambda at: F.get("lines", at)), "\n")

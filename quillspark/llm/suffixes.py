@@ -35,7 +35,6 @@ cut in blocks that overlap.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
@@ -44,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import discard, join_counted, map_batches, settle, table, with_row_key
+from quillspark.llm.common import discard, join_counted, map_batches, release, settle, table, with_row_key
 
 LENGTH, ANCHOR = 200, 56
 SPAN = LENGTH - ANCHOR + 1
@@ -305,12 +304,6 @@ def _merge_runs(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": np.concatenate(rows), "begin": begin, "end": begin + LENGTH})
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished work now, not when the driver next collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_ranges(keyed: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
     """row and its ranges (begin, end) of bytes to remove, settled; keyed has row and text. Ranges may overlap."""
     spark = keyed.sparkSession
@@ -318,7 +311,7 @@ def repeated_ranges(keyed: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
     twice = settle(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
     shared = settle(join_counted(every, twice, ["anchor"], ["row", "begin"]))
     discard(every, twice)
-    _release(spark)
+    release(spark)
     kinds = settle(
         shared.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("row", "begin", "size")).alias("one"))
     )
@@ -343,7 +336,7 @@ def repeated_ranges(keyed: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
     schema = "row long, begin long, end long, anchor long, lane long, keys binary, places binary"
     searched = settle(pieces.groupBy("shard").applyInPandas(_search_shard, schema))
     discard(edges)
-    _release(spark)
+    release(spark)
     inside = searched.where("anchor IS NULL").select("row", "begin", "end")
     across = searched.where("anchor IS NOT NULL").groupBy("anchor", "lane").applyInPandas(_merge_runs, "row long, begin long, end long")
     found = full.union(inside).union(across)
@@ -375,7 +368,7 @@ def dedup_report(docs: DataFrame, most: int = MOST_FRAGMENTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of what is left, of every document."""
     keyed = with_row_key(docs.select("doc_id", "text"), "row")
     by_row = repeated_ranges(keyed.select("row", "text"), most)
-    _release(docs.sparkSession)
+    release(docs.sparkSession)
     joined = keyed.join(by_row, "row", "left").select("doc_id", "text", "ranges")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
