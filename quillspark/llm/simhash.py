@@ -33,13 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, settle, table, with_row_key
+from quillspark.llm import shingle_sets
+from quillspark.llm.common import discard, map_batches, settle, table, with_row_key
 from quillspark.llm.components import smallest_reachable
+from quillspark.llm.shingle_sets import majority
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Buckets with more fingerprints than this are dealt out anew.
 MOST = 4096
-_CHUNK = 1 << 16
 
 
 def fingerprint(text: str | None) -> int:
@@ -52,12 +53,7 @@ def fingerprint(text: str | None) -> int:
     else:
         shingles = list(map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], "<u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), _CHUNK):
-        bits = np.unpackbits(hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(np.array([digest(s, SEED) for s in shingles], "<u8")) % 2**64
 
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -178,13 +174,44 @@ def components(docs: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataF
     return prints.join(rooted, F.col("fp") == F.col("n_fp")).select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
-def keep_one_each(docs: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFrame:
-    """Of every component the document of smallest id (null ids last), with all its columns."""
-    keyed = with_row_key(docs, "__row")
-    prints = settle(fingerprints(keyed.select("__row", "doc_id", "text"), ("__row", "doc_id")))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
-    kept = _rooted(prints, order, radius, most).select(F.col("first.__row").alias("__row")).distinct()
-    return keyed.join(kept, "__row", "left_semi").drop("__row")
+def keep_one_each(docs: DataFrame, radius: int = RADIUS, most: int = MOST, similar_width: int | None = None) -> DataFrame:
+    """Of every component the document of smallest id (null ids last), with all its columns.
+
+    With ``similar_width`` texts are linked by the Jaccard similarity of their sets of
+    shingles of so many words, 4/5 or more, instead of by the radius alone.
+    """
+    keyed = with_row_key(docs.select(F.struct("*").alias("doc"), "doc_id", "text"), "row")
+    texts = keyed.select("row", "doc_id", "text")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    if similar_width:
+        kept = _similar_firsts(texts, order, radius, most, similar_width)
+    else:
+        prints = settle(fingerprints(texts, ("row", "doc_id")))
+        kept = _rooted(prints, order, radius, most).select("first").distinct()
+    return keyed.join(kept.select(F.col("first.row").alias("row")), "row", "left_semi").select("doc.*")
+
+
+def _similar_firsts(texts: DataFrame, order: Column, radius: int, most: int, width: int) -> DataFrame:
+    """first: the least row by ``order`` of every component of similar texts.
+
+    Equal sets are folded. What the fingerprints' tables find within the radius is
+    checked by whole sets and joined; the other links are searched by prefixes.
+    """
+    made = settle(shingle_sets.set_prefixes(texts, width, SEED))
+    own = settle(made.groupBy("digest").agg(F.min(order).alias("own")).select("own", F.col("own.row").alias("row")))
+    sets = settle(made.join(own.select("row"), "row", "left_semi").drop("digest", "doc_id"))
+    discard(made)
+    prints = settle(sets.groupBy("fp").agg(F.min("row").alias("row")))
+    far = links_within(prints.select("fp"), radius, most)
+    ends = [prints.select(F.col("fp").alias(c), F.col("row").alias(f"row_{c}")) for c in "ab"]
+    between = far.join(ends[0], "a").join(ends[1], "b").select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
+    equal = sets.join(prints.withColumnRenamed("row", "a"), "fp").where("row <> a").select("a", F.col("row").alias("b"))
+    near = shingle_sets.similar_pairs(settle(between.union(equal)), texts, width, SEED)
+    roots = settle(smallest_reachable(near))
+    links = settle(shingle_sets.similar_links(sets, texts, near, roots, width, SEED))
+    roots = smallest_reachable(links)
+    rooted = own.join(roots, own.row == roots.node, "left").select("own", F.coalesce("root", "row").alias("root"))
+    return settle(rooted.groupBy("root").agg(F.min("own").alias("first")))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

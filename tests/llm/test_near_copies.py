@@ -1,16 +1,15 @@
 import random
 from itertools import combinations
 
-import numpy as np
-
 import corpus_pipeline
-from quillspark.llm import near_copies
+from quillspark.llm import components, shingle_sets
+from quillspark.llm.common import settle, with_row_key
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def similarity(a, b):
-    a, b = set(near_copies.shingle_set(a).tolist()), set(near_copies.shingle_set(b).tolist())
+    a, b = (set(shingle_sets.shingle_set(x, 5, 42).tolist()) for x in (a, b))
     return len(a & b) / (len(a | b) or 1)
 
 
@@ -47,23 +46,40 @@ def test_edited_copies_go(spark, stored):
     assert sorted(r.doc_id for r in got) == brute_kept(rows)
 
 
-def test_pairs_at_the_threshold_share_a_prefix():
-    for n in range(1, 300):
-        for m in range(n, 300):
-            if 5 * n >= 4 * m:  # the smaller set inside the larger, its shingles as late in the order as can be
-                assert m - n < near_copies.prefix_length(m)
+def test_large_families_are_compared_in_blocks(stored):
+    """A family around a base that is not there: some pairs are similar, most are not."""
+    random.seed(23)
+    base = [random.choice("abcdefghij") + str(random.randint(0, 300)) for _ in range(120)]
+    texts = []
+    for k in range(60):
+        edited = list(base)
+        for _ in range(random.choice((1, 2, 3))):
+            edited[random.randrange(len(edited))] = f"edit{k}"
+        texts.append(" ".join(edited))
+    rows = [(i, t, "xx", "s", 0) for i, t in enumerate(texts)]
+    docs = stored(rows, DOCS)
+    want = brute_kept(rows)
+    assert 1 < len(want) < 60
+    keyed = with_row_key(docs.select("doc_id", "text"), "row")
+    sets = settle(shingle_sets.set_prefixes(keyed, 5, 42))
+    none = keyed.sparkSession.createDataFrame([], "a long, b long"), keyed.sparkSession.createDataFrame([], "node long, root long")
+    for most in (2048, 7):
+        links = shingle_sets.similar_links(sets, keyed, *none, 5, 42, most)
+        roots = {r.node: r.root for r in components.smallest_reachable(links).collect()}
+        ids = {r.row: r.doc_id for r in keyed.collect()}
+        groups = {}
+        for row, doc_id in ids.items():
+            root = roots.get(row, row)
+            groups[root] = min(doc_id, groups.get(root, doc_id))
+        assert sorted(groups.values()) == want
 
 
-def test_sifting_loses_no_similar_pair():
-    random.seed(22)
-    fresh = lambda n: [random.getrandbits(64) - 2**63 for _ in range(n)]
-    checked = 0
-    for _ in range(500):
-        n = random.choice((5, 40, 300, 3000))
-        a = fresh(n)
-        b = a[random.randint(0, n // 5) :] + fresh(random.randint(0, n // 5))
-        if 5 * len({*a} & {*b}) >= 4 * len({*a} | {*b}):
-            x, y = (np.array(sorted(s), np.int64) for s in (a, b))
-            assert near_copies.may_be_similar(near_copies.sketch(x), near_copies.sketch(y), len(x) + len(y))
-            checked += 1
-    assert checked > 100
+def test_prefixes_of_similar_sets_share_what_is_assured():
+    for n in range(1, 300):
+        for m in range(n, 300):
+            overlap = max(shingle_sets.least_overlap(n), shingle_sets.least_overlap(m))
+            if overlap > n or 5 * overlap < 4 * (n + m - overlap):
+                continue
+            # The first common shingles lie as late in either order as can be.
+            both = min(shingle_sets.prefix_length(n) - (n - overlap), shingle_sets.prefix_length(m) - (m - overlap))
+            assert both >= min(shingle_sets.assured(n), shingle_sets.assured(m)) >= shingle_sets.assured(shingle_sets.least_overlap(m))
