@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import line_templates, mixing, near_copies, piece_bpe, quality
+from quillspark.llm import line_templates, mixing, piece_bpe, quality, simhash
 from quillspark.llm.common import settle, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -29,7 +29,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies: five-word shingles, a similarity of 0.8 or more."""
-    return near_copies.keep_one_each(docs.select(*COLUMNS))
+    return simhash.keep_one_each(docs.select(*COLUMNS), similar_width=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
