@@ -69,10 +69,10 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def windows_of(words: list[bytes], n: int = WINDOW_WORDS) -> list[bytes]:
-    """Windows of n words, each beginning one word on; a shorter text is one window."""
-    if n == 1 or len(words) <= n:
-        return words if n == 1 else [b" ".join(words)] * bool(words)
-    return list(map(b" ".join, zip(*(words[i:] for i in range(n)))))
+    """A text's windows of n words, one behind the other; the last one may be shorter."""
+    whole = len(words) - len(words) % n
+    made = list(map(b" ".join, zip(*(words[i:whole:n] for i in range(n)))))
+    return made + [b" ".join(words[whole:])] * (whole < len(words))
 
 
 def samples(words: list[bytes], seed: int) -> list[bytes]:
