@@ -8,6 +8,7 @@ the scan and no row leaves the JVM. Patterns are written for Java's engine:
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +31,14 @@ def strip(text: Column) -> Column:
 # ---- step 1: encoding ----
 
 
+#: Characters beyond Latin-1 that windows-1252 has.
+_BEYOND_LATIN = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
 def _mojibake() -> dict[str, str]:
-    """UTF-8 of Latin-1 letters read as windows-1252, and the letters meant."""
+    """UTF-8 of windows-1252's characters read as windows-1252, and the characters meant; longer ones first."""
     pairs = {}
-    for letter in map(chr, range(0xA1, 0x100)):
+    for letter in [*_BEYOND_LATIN, *map(chr, range(0xA1, 0x100))]:
         try:
             pairs[letter.encode().decode("cp1252")] = letter
         except UnicodeDecodeError:
@@ -42,9 +47,48 @@ def _mojibake() -> dict[str, str]:
 
 
 def repair_mojibake(text: Column) -> Column:
-    """Letters whose UTF-8 bytes were read as windows-1252; only texts that show the signs are touched."""
+    """Characters whose UTF-8 bytes were read as windows-1252; only texts that show the signs are touched."""
     repaired = reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), _mojibake().items(), text)
-    return F.when(text.rlike("[ÃÂ]."), repaired).otherwise(text)
+    return F.when(text.rlike("[ÃÂâÅÆË]."), repaired).otherwise(text)
+
+
+def entities() -> dict[str, str]:
+    """Named HTML entities of single characters, from Python's table of HTML 4."""
+    return {f"&{name};": chr(code) for name, code in name2codepoint.items()}
+
+
+def decode_entities(text: Column) -> Column:
+    """Named entities of single characters as these, once, in texts without markup."""
+    table = F.create_map(*(F.lit(x) for pair in entities().items() for x in pair))
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s)&[A-Za-z][A-Za-z0-9]*;|&?[^&]*"), F.lit(0))
+    decoded = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
+    return F.when(text.rlike("&[A-Za-z][A-Za-z0-9]*;") & ~text.contains("<"), decoded).otherwise(text)
+
+
+def narrow(text: Column) -> Column:
+    """Full-width letters, digits and marks as plain ones."""
+    return F.translate(text, "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000", "".join(map(chr, range(0x21, 0x7F))) + " ")
+
+
+def plain_line_ends(text: Column) -> Column:
+    """Every kind of line end as \\n."""
+    return sub(text, "\r\n?|[\u0085\u2028\u2029]", "\n")
+
+
+def drop_controls(text: Column) -> Column:
+    """Control characters other than tabs and line ends; for texts that no whitelist has passed."""
+    return sub(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
+
+
+def composed(text: Column) -> Column:
+    """Canonical composition; Spark has no form of its own, so texts go through Arrow where they hold anything beyond Latin letters."""
+    import pandas as pd
+
+    def nfc(texts: pd.Series) -> pd.Series:
+        return texts.str.normalize("NFC")
+
+    made = F.pandas_udf(nfc, "string")(text)
+    return F.when(text.rlike("[^\\x00-\u02ff]"), made).otherwise(text)
 
 
 def drop_stray_a(text: Column) -> Column:
@@ -125,16 +169,16 @@ TYPOGRAPHY = (
     ("spaced_capitals", rf"(?U)(?<=\b{_CAPITAL})[ ]+(?={_CAPITAL}\s+{_CAPITAL}\b)|(?<=\b{_CAPITAL}\s{{1,8}}{_CAPITAL})[ ]+(?={_CAPITAL}\b)", ""),
     ("quotes", r'"([^"]*?)"', f"{OPEN}{NBSP}$1{NBSP}{CLOSE}"),
     ("open_quote", rf"(?U){OPEN}\s*(\S)", f"{OPEN}{NBSP}$1"),
-    ("close_quote", rf"(?U)(\S)\s*{CLOSE}", f"$1{NBSP}{CLOSE}"),
-    ("high_marks", r"(?U)(\S)\s*([;?!])", f"$1{NNBSP}$2"),
-    ("colon", rf"(?Ud)(\S)\s*:(?=[\s{OPEN}]|\n?\z)", f"$1{NBSP}:"),
+    ("close_quote", rf"(?U)(\S)\s*+{CLOSE}", f"$1{NBSP}{CLOSE}"),
+    ("high_marks", r"(?U)(\S)\s*+([;?!])", f"$1{NNBSP}$2"),
+    ("colon", rf"(?Ud)(\S)\s*+:(?=[\s{OPEN}]|\n?\z)", f"$1{NBSP}:"),
     ("space_after", rf"([.,;:!?])(?=[{_LETTER}{OPEN}])", "$1 "),
-    ("dashes", r"(?U)\s*---?\s*", f" {DASH} "),
+    ("dashes", r"(?U)(?:(?<!\s)\s++)?---?\s*+", f" {DASH} "),
     ("apostrophes", rf"([{_LETTER}])'([{_LETTER}])", f"$1{QUOTE}$2"),
     ("leaders", r"\.{4,}", "..."),
     ("code_articles", r"(?U)\b([LRDA])\.(?=\d)", "$1. "),
     ("numbers", r"(?U)([nN])°\s*(\d)", f"$1°{NBSP}$2"),
-    ("space_before", r"(?U)\s+([.,])", "$1"),
+    ("space_before", r"(?U)(?<!\s)\s++([.,])", "$1"),
     ("double_spaces", r"[ ]{2,}", " "),
 )
 
@@ -165,29 +209,25 @@ def normalize_act_words(text: Column) -> Column:
     return sub(sub(text, alone.format("D[ÉE]CIDE"), "$1DÉCIDE$2"), alone.format("ORDONNE"), "$1ORDONNE$2")
 
 
-def _heading(number: str) -> str:
-    return rf"(?iumUd)^(\s*)(?:ARTICLE|ART\.?\s*)\s*{number}\s*[:.—–-]?\s*"
-
-
 def normalize_articles(text: Column) -> Column:
     """Article headings as ``Article n — `` on a new line; ordinal words first, then digits, then unique.
 
-    A heading's own form is not matched again, as a mark stands in its place until the end.
+    One pass puts a heading's number between marks; ordinal words between them
+    are looked up piece by piece.
     """
-    by_length = sorted(rules.ORDINALS, key=len, reverse=True)
-    groups: list[tuple[int, list[str]]] = []
-    for word in by_length:
-        n = rules.ORDINALS[word]
-        if groups and groups[-1][0] == n:
-            groups[-1][1].append(word)
-        else:
-            groups.append((n, [word]))
-    mark = "\u0001"
-    for n, words in groups:
-        text = sub(text, _heading(f"(?:{'|'.join(words)})"), f"$1\n{mark} {n} {DASH} ")
-    text = sub(text, _heading(r"0*(\d+)\s*(?:er|[eè]re|[eè]me|e)?"), f"$1\n{mark} $2 {DASH} ")
-    text = sub(text, _heading("UNIQUE"), f"$1\n{mark} unique {DASH} ")
-    return F.replace(text, F.lit(mark), F.lit("Article"))
+    words = "|".join(sorted(rules.ORDINALS, key=len, reverse=True))
+    number = rf"(?:({words})|0*(\d+)\s*(?:er|[eè]re|[eè]me|e)?|(UNIQUE))"
+    heading = rf"(?iumUd)^(\s*+)(?:ARTICLE|ART\.?\s*)\s*{number}\s*[:.—–-]?\s*"
+    mark, end = "\u0001", "\u0002"
+    pieces = F.split(sub(text, heading, f"$1\n{mark}$2$3$4{end} {DASH} "), mark, -1)
+    numbers = F.create_map(*(F.lit(x) for word, n in rules.ORDINALS.items() for x in (word, str(n))))
+
+    def one(piece: Column, at: Column) -> Column:
+        said = F.lower(F.substring_index(piece, end, 1))
+        rest = F.substring(piece, F.length(said) + 2, F.length(piece))
+        return F.when(at == 0, piece).otherwise(F.concat(F.lit("Article "), F.coalesce(F.try_element_at(numbers, said), said), rest))
+
+    return F.when(text.rlike(r"(?imU)^\s*+ART"), F.array_join(F.transform(pieces, one), "")).otherwise(text)
 
 
 def normalize_keywords(text: Column) -> Column:
@@ -258,30 +298,6 @@ def fix_final(text: Column) -> Column:
     return F.when(text.rlike("(?m)^[\\u00a0\\u202f]"), F.array_join(F.transform(F.split(text, "\n", -1), indented), "\n")).otherwise(text)
 
 
-#: The steps in order and the rules of each; every rule takes and gives a text column.
-STEPS = {
-    "encoding": (repair_mojibake, drop_stray_a, drop_unreadable, straighten_quotes, whitelist, unify_newlines),
-    "unicode": (fix_unicode,),
-    "ocr": (repair_articles, join_hyphenated, repair_rn, single_spaces),
-    "typography": (fix_typography,),
-    "structure": (strip_page_numbers, normalize_act_words, normalize_articles, normalize_keywords),
-    "casing": (lower_titles, lower_capitals),
-    "final": (fix_final,),
-}
-
-
-def cleaned(rows: DataFrame, column: str, steps: tuple[str, ...] = tuple(STEPS)) -> DataFrame:
-    """The rows with a text column cleaned.
-
-    Rules that look at their text more than once are kept in projections of
-    their own, as one expression would evaluate all before it again each time.
-    """
-    for step in steps:
-        for rule in STEPS[step]:
-            rows = rows.withColumn(column, rule(F.col(column)))
-    return rows
-
-
 def typography_audit(rows: DataFrame, column: str) -> DataFrame:
     """The rows with corrections, array<struct<type, count>>: how often each typographic rule fires.
 
@@ -299,5 +315,5 @@ def typography_audit(rows: DataFrame, column: str) -> DataFrame:
 
 def char_differences(a: Column, b: Column) -> Column:
     """Places at which two texts differ, the longer one's rest included."""
-    places = F.when(F.greatest(F.length(a), F.length(b)) > 0, F.sequence(F.lit(1), F.greatest(F.length(a), F.length(b)))).otherwise(F.array().cast("array<int>"))
-    return F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))))
+    one, two = (F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0)) for t in (a, b))
+    return F.size(F.filter(F.zip_with(one, two, lambda p, q: ~p.eqNullSafe(q)), lambda differs: differs))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,9 +78,20 @@ def with_section_marks(text: Column) -> Column:
     return F.array_join(F.transform(full, lambda s: F.concat(F.lit("\n=== "), s["label"], F.lit(" ===\n"), s["content"])), "\n")
 
 
+def _compatible() -> dict[str, str]:
+    """The characters that cleaned texts may hold whose compatibility form is another one, and that form."""
+    held = map(chr, (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), 0x202F))
+    return {c: form for c in held if (form := unicodedata.normalize("NFKC", c)) != c}
+
+
 def normalized(text: Column) -> Column:
     """Compatibility characters, spaces and blank lines made uniform before acts are split."""
-    text = F.translate(text, "  ªº²³¹", "  ao231")
+    forms = _compatible()
+    one = {c: form for c, form in forms.items() if len(form) == 1}
+    several = {c: form for c, form in forms.items() if len(form) > 1}
+    text = F.translate(text, "".join(one), "".join(one.values()))
+    longer = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(several[c])), several, text)
+    text = F.when(text.rlike(f"[{''.join(several)}]"), longer).otherwise(text)
     return strip(sub(sub(sub(text, r"\r\n?", "\n"), r"[ \t]+", " "), r"\n{3,}", "\n\n"))
 
 

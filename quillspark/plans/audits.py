@@ -1,0 +1 @@
+"""Queries over audits of the cleaning steps."""

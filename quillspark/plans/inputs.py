@@ -31,7 +31,7 @@ _TWO = _case("doc_id % 3", ["Art. 2. ", "ARTICLE DEUX : ", "Article 2 - "])
 _ONE = _case("doc_id % 3", ["ARTICLE PREMIER : ", "Article 1er. ", "Art. 1 : "])
 _NL = "chr(10)"
 
-#: An act of a gazette around the head of a document's text, as the oracles' SQL has it.
+#: An act of a gazette around a document's text.
 ACT = " || ".join([
     "'PREFECTURE DU VAL-TEST'", _NL, "'Recueil ' || CAST(doc_id AS STRING)", _NL,
     f"CASE WHEN doc_id % 3 = 0 THEN 'SOMMAIRE' || {_NL} || 'Page ' || CAST(doc_id % 9 AS STRING) || {_NL} ELSE '' END",
@@ -40,17 +40,12 @@ ACT = " || ".join([
     "'CONSIDÉRANT que le Préfet décide'", _NL, "'ARRETE'", _NL,
     _ONE, "'Le PREFET et le MAIRE sont chargés'", _NL, _TWO, f"'Monsieur ' || {_NAME} || ' est nommé'", _NL,
     "CASE WHEN doc_id % 6 = 0 THEN 'Article 4 suite' ELSE 'Article 3 : fin' END", _NL,
-    "substr(coalesce(text, ''), 1, 200 + CAST(doc_id % 5 AS INT) * 100)", _NL,
+    "coalesce(text, '')", _NL,
     f"'Fait à Testville, le ' || {_DAY} || ' ' || {_MONTH} || ' ' || {_YEAR}", _NL,
     f"'Signé : le préfet : Mme ' || {_NAME}",
 ])
 
 
-_HEAD = "substr(coalesce(text, ''), 1, 200 + CAST(doc_id % 5 AS INT) * 100)"
-#: The same around the whole text.
-WHOLE_ACT = ACT.replace(_HEAD, "coalesce(text, '')")
-
-
 def acts_sql() -> str:
     return f"SELECT doc_id, source, {ACT} AS act FROM documents"
 
@@ -59,11 +54,6 @@ def acts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(ACT).alias("act"))
 
 
-def whole_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The acts of queries without SQL to be compared with."""
-    return table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(WHOLE_ACT).alias("act"))
-
-
 def noisy_sql(marks: list[str]) -> str:
     return f"SELECT doc_id, {_case(f'doc_id % {len(marks)}', marks)} || chr(10) || text AS t FROM documents"
 

@@ -6,8 +6,6 @@ capture what Spark's patterns look at; the inputs keep matches apart.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,29 +14,12 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import cleaning, extract, rules, web
 from quillspark.operators import acts as act_ops
-from quillspark.operators import archive, lines, search
+from quillspark.operators import archive, lines, search, steps
 from quillspark.plans import inputs
+from quillspark.plans.base import NL, ORACLES, QUERIES, L, Query, S, query, shared_folder
+from quillspark.plans.base import replaced as _r
 from quillspark.streaming import files as streams
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_ORACLES: dict[str, str] = {}
-
-#: White space as Python and Spark's (?U) know it, for DuckDB.
-S = r"[\s\x{000B}\x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-L = r"[0-9A-Za-zÀ-ɏ_]"
-NL = r"[^0-9A-Za-zÀ-ɏ_]"
-
-
-def query(name: str, sql: str | None = None):
-    def add(f: Query) -> Query:
-        _QUERIES[name] = f
-        if sql:
-            _ORACLES[name] = sql
-        return f
-
-    return add
-
 
 # ---- cleaning: each query puts lines that its rules fire on above the texts ----
 
@@ -49,15 +30,9 @@ def _cleaning(name: str, marks: list[str], rule: Callable[[Column], Column], sql
         after = rule(F.col("t"))
         return rows.select("doc_id", (after != F.col("t")).alias("changed"), F.md5(after).alias("cleaned_md5"))
 
-    _QUERIES[name] = run
+    QUERIES[name] = run
     if sql:
-        _ORACLES[name] = f"SELECT doc_id, c <> t AS changed, md5(c) AS cleaned_md5 FROM (SELECT doc_id, t, {sql} AS c FROM ({inputs.noisy_sql(marks)}))"
-
-
-def _r(text: str, *pairs: tuple[str, str]) -> str:
-    """Nested replacements of all matches for DuckDB."""
-    quoted = lambda s: s.replace("'", "''")
-    return reduce(lambda c, p: f"regexp_replace({c}, '{quoted(p[0])}', '{quoted(p[1])}', 'g')", pairs, text)
+        ORACLES[name] = f"SELECT doc_id, c <> t AS changed, md5(c) AS cleaned_md5 FROM (SELECT doc_id, t, {sql} AS c FROM ({inputs.noisy_sql(marks)}))"
 
 
 _cleaning(
@@ -172,19 +147,18 @@ _cleaning("clean_s7_final", ["a  \nb\t\n\n\n\n\nc", "\u00a0\u202fx", "y"], clean
 
 @query("clean_pipeline")
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.cleaned(inputs.whole_acts(spark, sf_dir), "act").select("doc_id", F.col("act").alias("cleaned"))
+    return steps.cleaned(inputs.acts(spark, sf_dir), "act").select("doc_id", F.col("act").alias("cleaned"))
 
 
 @query(
     "char_diff_count",
-    "SELECT doc_id, len(list_filter(range(1, greatest(len(t), len(c)) + 1), lambda i: substr(t, i, 1) <> substr(c, i, 1))) AS n_differences FROM "
-    f"(SELECT doc_id, left(t, 400) AS t, left({_r('t', ('o', '00'), ('[.]', '!'))}, 400) AS c FROM ({inputs.noisy_sql(['avant', 'après'])}))",
-)
+    "SELECT doc_id, len(list_filter(list_zip(string_split(t, ''), string_split(c, '')), lambda p: p[1] IS DISTINCT FROM p[2])) AS n_differences FROM "
+    f"(SELECT doc_id, t, {_r('t', ('o', '00'), ('[.]', '!'))} AS c FROM ({inputs.noisy_sql(['avant', 'après'])}))",
+)
 def _char_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Differences in the heads of texts; the rule is for a step's short edits, and quadratic engines pay for more."""
-    a, b = F.left("t", F.lit(400)), F.left(cleaning.sub(cleaning.sub(F.col("t"), "o", "00"), "[.]", "!"), F.lit(400))
-    rows = inputs.noisy(spark, sf_dir, ["avant", "après"]).select("doc_id", a.alias("a"), b.alias("b"))
-    return rows.select("doc_id", cleaning.char_differences(F.col("a"), F.col("b")).cast("long").alias("n_differences"))
+    after = cleaning.sub(cleaning.sub(F.col("t"), "o", "00"), "[.]", "!")
+    rows = inputs.noisy(spark, sf_dir, ["avant", "après"])
+    return rows.select("doc_id", cleaning.char_differences(F.col("t"), after).cast("long").alias("n_differences"))
 
 
 # ---- acts ----
@@ -192,7 +166,7 @@ def _char_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("section_labels")
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", F.posexplode_outer(act_ops.sections(F.col("act"))).alias("at", "s"))
+    rows = inputs.acts(spark, sf_dir).select("doc_id", F.posexplode_outer(act_ops.sections(F.col("act"))).alias("at", "s"))
     return rows.select("doc_id", "at", "s.label", F.md5("s.content").alias("content_md5"))
 
 
@@ -203,7 +177,7 @@ def _section_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("section_marks")
 def _marks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.whole_acts(spark, sf_dir).select("doc_id", act_ops.with_section_marks(F.col("act")).alias("marked"))
+    return inputs.acts(spark, sf_dir).select("doc_id", act_ops.with_section_marks(F.col("act")).alias("marked"))
 
 
 _SCORE = " + ".join(f"CAST(regexp_matches({{t}}, '{p}') AS INT)" for p in (
@@ -239,7 +213,7 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("act_files")
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.whole_acts(spark, sf_dir)
+    docs = inputs.acts(spark, sf_dir)
     acts = act_ops.split_acts(docs, "doc_id", "act")
     heads = docs.select("doc_id", act_ops.header(F.col("act")).alias("head"), act_ops.summary(F.col("act")).alias("listed"))
     joined = acts.join(heads, acts.source == heads.doc_id)
@@ -282,7 +256,7 @@ def _tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("act_json")
 def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", "act", *extract.fields(F.col("act")))
+    rows = inputs.acts(spark, sf_dir).select("doc_id", "act", *extract.fields(F.col("act")))
     return rows.select("doc_id", extract.act_json(F.col("doc_id"), F.col("act"), {n: F.col(n) for n in rules.FIELDS}).alias("json"))
 
 
@@ -299,12 +273,12 @@ def _anonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("validate_structure")
 def _validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.fix_structure(F.col("act"))
-    return inputs.whole_acts(spark, sf_dir).select("doc_id", clean.alias("act")).select("doc_id", extract.validation(F.col("act")).alias("v")).select("doc_id", "v.*")
+    return inputs.acts(spark, sf_dir).select("doc_id", clean.alias("act")).select("doc_id", extract.validation(F.col("act")).alias("v")).select("doc_id", "v.*")
 
 
 @query("diff_lines")
 def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", "act", cleaning.fix_structure(F.col("act")).alias("clean"))
+    rows = inputs.acts(spark, sf_dir).select("doc_id", "act", cleaning.fix_structure(F.col("act")).alias("clean"))
     return lines.diff_lines(rows, "doc_id", "act", "clean", "structure")
 
 
@@ -314,7 +288,7 @@ def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _french(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = extract.field(F.col("act"), "date_acte")
-    rows = inputs.whole_acts(spark, sf_dir).select("doc_id", date.alias("d"))
+    rows = inputs.acts(spark, sf_dir).select("doc_id", date.alias("d"))
     return rows.select("doc_id", extract.french_date(F.col("d")).alias("date_acte"), extract.month_number(F.col("d")).cast("long").alias("month"))
 
 
@@ -391,14 +365,20 @@ def _otsu(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- archive ----
 
 _PATH = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(/.*)$', 1)"
-_M = web._MONTH
 _ISPDF = "(regexp_matches(url, '(?i)\\.pdf(?:$|[?#])') OR regexp_matches(url, '(?i)/(?:i?re)?contenu/telechargement/'))"
-_KIND = (
-    f"CASE WHEN {_ISPDF} THEN 'pdf' WHEN regexp_matches({_PATH}, '(?i)(?:{_M})(?:-\\d{{4}})?/?$') THEN 'month' "
-    f"WHEN regexp_matches({_PATH}, '(?i)/{web._FORM}{web._YEAR}/?$') THEN 'year' ELSE 'root' END"
+#: How the paths of an archive name months and years.
+_MONTH_WORDS = "Janvier|Fevrier|Février|Mars|Avril|Mai|Juin|Juillet|Aout|Août|Septembre|Octobre|Novembre|Decembre|Décembre"
+_Y = "(?:19|20)\\d{2}"
+_YEAR_PATH = f"Annee-{_Y}|Les-recueils-des-actes-administratifs-annee-{_Y}|Raa-[^/]+?-{_Y}"
+PAGE_KIND = (
+    f"CASE WHEN regexp_matches({_PATH}, '(?i)/(?:Annee-{_Y}|Raa-[^/]+?-{_Y})/.') THEN 'month' WHEN regexp_matches({_PATH}, '(?i)/(?:{_YEAR_PATH})/?$') THEN 'year' "
+    f"WHEN regexp_matches({_PATH}, '(?i)/(?:{_MONTH_WORDS})(?:-{_Y})?/?$') THEN 'month' "
+    f"WHEN regexp_matches({_PATH}, '(?i)(?:^|/)Annee-{_Y}(?:/|$)|Raa-[^/]+?-{_Y}') THEN 'year' ELSE 'root' END"
 )
+_KIND = f"CASE WHEN {_ISPDF} THEN 'pdf' ELSE {PAGE_KIND} END"
+_YEAR_FORM = "(?:Annee-|Les-recueils-des-actes-administratifs-annee-|Raa-[^/]+?-)"
 _YEAROF = (
-    f"coalesce(CAST(regexp_extract_all({_PATH} || '/', '(?i)(?:^|/){web._FORM}((?:19|20)\\d{{2}})/', 1)[-1] AS INT), "
+    f"coalesce(CAST(regexp_extract_all({_PATH} || '/', '(?i)(?:^|/){_YEAR_FORM}((?:19|20)\\d{{2}})/', 1)[-1] AS INT), "
     f"CAST(regexp_extract_all(label, '(?:19|20)\\d{{2}}')[-1] AS INT), "
     f"CAST(regexp_extract_all(url || ' ' || label || ' ', '(?:^|[^\\d])((?:19|20)\\d{{2}})[^\\d]', 1)[-1] AS INT), 0)"
 )
@@ -409,7 +389,7 @@ _RESOLVED = f"SELECT page_id, pos, url, label, {_KIND} AS kind, {_YEAROF} AS yea
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     url, label = F.col("url"), F.col("label")
     return inputs.links(spark, sf_dir).select(
-        "page_id", "pos", url, label, web.page_kind(url).alias("kind"), web.year_of(url, label).alias("year"), web.month_of(url, label).alias("month")
+        "page_id", "pos", url, label, web.link_kind(url).alias("kind"), web.year_of(url, label).alias("year"), web.month_of(url, label).alias("month")
     )
 
 
@@ -423,7 +403,7 @@ def _kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir).select("page_id", F.col("pos").cast("long").alias("pos"), "kind", "year", "month")
 
 
-_YEARLINK = rf"(regexp_matches({_PATH}, '(?i)/{web._FORM}(?:19|20)\d{{2}}/?$') OR regexp_matches(label, '(?i)ann[éeÉ]e\s+(?:19|20)\d{{2}}'))"
+_YEARLINK = rf"(regexp_matches({_PATH}, '(?i)/{_YEAR_FORM}(?:19|20)\d{{2}}/?$') OR regexp_matches(label, '(?i)ann[éeÉ]e\s+(?:19|20)\d{{2}}'))"
 
 
 @query("year_links", f"SELECT page_id, CAST(pos AS BIGINT) AS pos, url FROM ({inputs.LINKS_SQL}) WHERE {_YEARLINK}")
@@ -534,8 +514,7 @@ def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_paths(spark: SparkSession) -> tuple[str, str]:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillspark-")
-    run = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    run = shared_folder(spark)
     return f"{run}/table", f"{run}/checkpoint"
 
 
@@ -591,7 +570,7 @@ def _origin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to acts to fields: cleaned, split, extracted, anonymised, dated."""
-    acts = act_ops.split_acts(cleaning.cleaned(inputs.whole_acts(spark, sf_dir), "act"), "doc_id", "act")
+    acts = act_ops.split_acts(steps.cleaned(inputs.acts(spark, sf_dir), "act"), "doc_id", "act")
     found = acts.select("source", "index", "titre", "score", "contenu", *extract.fields(F.col("contenu")))
     return found.select(
         "source", "index", "titre", "score", "numero_acte", extract.french_date(F.col("date_acte")).alias("date_acte"), "fonction_auteur",
@@ -603,8 +582,11 @@ query("acts_pipeline")(flagship)
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(ORACLES)
+
+
+from quillspark.plans import audits, sites  # noqa: E402, F401  they add their queries

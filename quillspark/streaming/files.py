@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillspark.functions.cleaning import cleaned
+from quillspark.operators.steps import cleaned
 
 
 def text_stream(spark: SparkSession, path: str, files_at_once: int = 10) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import cleaning, extract, rules, web
-from quillspark.operators import acts, archive, lines, search
+from quillspark.operators import acts, archive, crawl, lines, search, steps
 
 
 def apply(spark, rule, *texts):
@@ -51,8 +51,8 @@ def test_typography_audit(spark):
 
 def test_pipeline_keeps_extra_columns_and_nulls(spark):
     rows = spark.createDataFrame([(1, "ARTICLE 1 : x", "k"), (2, None, "k"), (3, "", "k")], "doc_id long, act string, label string")
-    got = {r.doc_id: r for r in cleaning.cleaned(rows, "act").collect()}
-    assert got[1].act == "\nArticle 1 — x\n" and got[2].act is None and got[3].act == "" and got[1].label == "k"
+    got = {r.doc_id: r for r in steps.cleaned(rows, "act").collect()}
+    assert got[1].act == "\n=== ARTICLES ===\nArticle 1 — x\n" and got[2].act is None and got[3].act == "" and got[1].label == "k"
 
 
 def machine(text):

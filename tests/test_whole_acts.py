@@ -10,8 +10,8 @@ def test_acts_hold_whole_texts(spark, tmp_path):
     for name in ("section_marks", "clean_pipeline", "act_json"):
         got = {r[0]: r[1] for r in registry.queries()[name](spark, str(tmp_path)).collect()}
         assert set(got) == set(range(6)) and all("code final" in got[i] for i in range(1, 6)), name
-    sql = f"SELECT doc_id, source, {inputs.WHOLE_ACT} AS act FROM read_parquet('{tmp_path}/documents.parquet/*.parquet') ORDER BY doc_id"
-    assert [tuple(r) for r in inputs.whole_acts(spark, str(tmp_path)).orderBy("doc_id").collect()] == duckdb.sql(sql).fetchall()
+    sql = f"SELECT doc_id, source, {inputs.ACT} AS act FROM read_parquet('{tmp_path}/documents.parquet/*.parquet') ORDER BY doc_id"
+    assert [tuple(r) for r in inputs.acts(spark, str(tmp_path)).orderBy("doc_id").collect()] == duckdb.sql(sql).fetchall()
 
 
 def test_dates_of_whole_acts_equal_the_sql(spark):
