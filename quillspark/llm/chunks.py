@@ -14,21 +14,25 @@ from collections.abc import Callable
 #: White space other than single spaces and line breaks inside the text.
 ODD = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z")
 
-#: Pieces that a worker remembers before it forgets them all; longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 1 << 17, 64
+#: Pieces of a generation: a worker remembers two, and forgets the older one when the newer is full.
+#: Longer pieces are not remembered.
+MOST_PIECES, LONGEST_PIECE = 1 << 18, 64
 
 
 class PieceMemory(dict):
-    """What ``make`` gives for each piece, remembered within bounds."""
+    """What ``make`` gives for each piece, remembered within bounds; pieces in use outlive the others."""
 
     def __init__(self, make: Callable):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, piece):
-        made = self.make(piece)
+        made = self.older.get(piece)
+        if made is None:
+            made = self.make(piece)
         if len(piece) <= LONGEST_PIECE:
             if len(self) >= MOST_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = made
         return made

@@ -42,7 +42,7 @@ from quillspark.llm.common import bounded, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
 #: Bytes of input that a shard takes; small inputs have more shards than that, for all cores to work.
-SHARD_BYTES = 256 << 20
+SHARD_BYTES = 128 << 20
 _HEAD = struct.Struct("<4sIQII")
 
 
@@ -143,17 +143,20 @@ class LibraryEncoder:
             for c in filter(str.isalpha, map(chr, range(ord(_LAST_LETTER) + 1))):
                 self.letters[ord(c)] = cut.pre_tokenize_str(c)[0][0]
             self.space = cut.pre_tokenize_str(" a")[0][0][:-1]
-        self.tokens = PieceMemory(lambda token: array("I", [t.id for t in self.model.tokenize(token)]).tobytes())
-        self.plain = PieceMemory(lambda word: self.encode(word, False))
-        self.spaced = PieceMemory(lambda word: self.encode(word, True))
-
-    def encode(self, word: str, spaced: bool) -> bytes:
-        core, tail = (word[:-1], word[-1]) if word[-1:] and word[-1:] in _TAILS else (word, "")
-        if self.letters and core.isalpha() and max(core) <= _LAST_LETTER:
-            token = core.translate(self.letters)
-            return self.tokens[self.space + token if spaced else token] + (self.tokens[tail] if tail else b"")
-        text = " " + word if spaced else word
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.tails = {tail: [t.id for t in self.model.tokenize(tail)] for tail in _TAILS} if self.letters else {}
+        self.plain = PieceMemory(lambda word: self.encode(word, ""))
+        self.spaced = PieceMemory(lambda word: self.encode(word, " "))
+
+    def encode(self, word: str, before: str) -> bytes:
+        """The ids of a word behind a space or nothing."""
+        tail = self.tails.get(word[-1:])
+        core = word if tail is None else word[:-1]
+        if self.letters and core.isalpha():
+            token = core.translate(self.letters) if core.isascii() or max(core) <= _LAST_LETTER else None
+            if token is not None:
+                ids = [t.id for t in self.model.tokenize(self.space + token if before else token)]
+                return array("I", ids + tail if tail else ids).tobytes()
+        return array("I", self.tokenizer.encode(before + word, add_special_tokens=False).ids).tobytes()
 
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a column; null is empty."""
