@@ -2,22 +2,24 @@
 
 Two texts are linked when their sets of shingles have a Jaccard similarity of
 SIMILARITY (4/5) or more. At an affordable radius SimHash finds few such pairs,
-so the rest is searched exactly, by the prefixes of sets in the order of their
-hashes. Of n shingles the first n - ceil(4n/5) + n/5 hold at least n/5 that a
-similar set has among its own first ones. So:
-
-1. A text whose prefix holds too few shingles that other prefixes hold as well
-   has no similar text. That is counted twice, the second time among the texts
-   left; texts that share no more than a passage with others are gone then.
-2. Of the shared shingles of a prefix, rare ones first, all but a few are a
-   text's keys: similar texts have one in common.
-3. Texts with a key in common are compared by whole sets within a task, and only
-   a spanning forest of the links leaves it. Keys of texts that SimHash has
-   joined already are passed over. Keys with more than MOST_SETS texts are dealt
-   out in blocks, each pair of which meets in one task.
-
-No pair is lost, and none but links are written. Texts have sets as ``shingle_set``
-makes them, equal sets are folded before; null and empty texts have the empty set.
+so the rest is searched exactly, by what texts share of their sets:
+
+1. In the order of hashes the first n - ceil(4n/5) + n/5 of n shingles hold at
+   least n/5 that a similar set has among its own first ones. A text whose prefix
+   holds too few shingles that other prefixes hold as well has no similar text.
+2. Of the whole sets of the texts left, ceil(4n/5) shingles must be in others'
+   sets. That is counted twice, as texts drop out; texts that share no more than
+   passages with others are gone then.
+3. Of a text's shared shingles, rare ones first, all but ceil(4n/5) - 1 are its
+   keys: similar texts have one in common. Keys whose texts SimHash has joined
+   already are passed over.
+4. Texts tied by keys make clusters; a text goes to its cluster's task once, with
+   its set, and is compared there with the others. Clusters of more than
+   MOST_SETS texts are dealt out in blocks, each pair of which meets in one task.
+
+No pair is lost, and nothing but a spanning forest of the links leaves a task.
+Texts have sets as ``shingle_set`` makes them, equal sets are folded before; null
+and empty texts have the empty set.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import discard, join_counted, map_batches, release, settle
+from quillspark.llm.components import smallest_reachable
 
 #: The least similarity, as a fraction.
 SIMILARITY = (4, 5)
-#: Rows whose hashes a Python worker holds at once; texts with one key that a task compares; rows a shard should hold.
-SLICE, MOST_SETS, SHARD_ROWS = 128, 2048, 4096
+#: Rows whose hashes a Python worker holds at once; texts of one block of a cluster; rows a shard should hold.
+SLICE, MOST_SETS, SHARD_ROWS = 128, 1024, 1024
 ROUNDS, _CHUNK = 2, 1 << 16
 
 
@@ -128,27 +131,22 @@ def similar_pairs(pairs: DataFrame, keyed: DataFrame, width: int, seed: int) ->
     return found
 
 
-def shared_prefixes(sets: DataFrame) -> DataFrame:
-    """row, n, shingle and held (how many prefixes hold it) of the texts that may have a similar one, settled."""
-    left = sets.select("row", "n", F.explode("prefix").alias("shingle"))
-    needed = assured(least_overlap(F.col("n")))
-    made = None
-    for _ in range(ROUNDS):
-        counts = settle(left.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").withColumn("held", F.col("n")))
-        shared = settle(join_counted(left.select("row", F.col("n").alias("size"), "shingle"), counts, ["shingle"], ["row"]).withColumnRenamed("size", "n"))
-        discard(counts)
-        enough = shared.groupBy("row", "n").agg(F.count("*").alias("times")).where(F.col("times") >= needed).select("row")
-        kept = settle(shared.join(enough, "row", "left_semi"))
-        discard(shared, *([made] if made is not None else []))
-        release(sets.sparkSession)
-        left, made = kept.drop("held"), kept
-    return made
+def _shared(rows: DataFrame, needed: Column) -> DataFrame:
+    """row, n, shingle and held (how many rows hold it) of rows (row, n, shingle) with enough shingles that others hold too, settled."""
+    counts = settle(rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").withColumn("held", F.col("n")))
+    left = rows.select("row", F.col("n").alias("size"), "shingle")
+    shared = settle(join_counted(left, counts, ["shingle"], ["row"]).withColumnRenamed("size", "n"))
+    enough = shared.groupBy("row", "n").agg(F.count("*").alias("times")).where(F.col("times") >= needed).select("row")
+    kept = settle(shared.join(enough, "row", "left_semi"))
+    discard(counts, shared)
+    release(rows.sparkSession)
+    return kept
 
 
 def keys_of(shared: DataFrame) -> DataFrame:
-    """row and shingle: the keys of every text, of which similar texts have one in common."""
+    """row and shingle: the keys of every text, of which similar texts have one in common; ``shared`` is of whole sets."""
     listed = shared.groupBy("row", "n").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("all"))
-    several = F.size("all") - assured(least_overlap(F.col("n"))) + 1
+    several = F.size("all") - least_overlap(F.col("n")) + 1
     keys = listed.select("row", F.explode(F.slice("all", F.lit(1), several.cast("int"))).alias("key"))
     return keys.select("row", F.col("key.shingle").alias("shingle"))
 
@@ -181,7 +179,7 @@ def compared(rows: np.ndarray, sets: list[np.ndarray], find: Callable[[int], int
 
 
 def _compare_shard(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) of a shard's keys; rows of one root are joined from the start."""
+    """Links (a, b) of a shard's blocks; rows of one root are joined from the start."""
     parent: dict[int, int] = {}
 
     def find(i: int) -> int:
@@ -198,38 +196,47 @@ def _compare_shard(frame: pd.DataFrame) -> pd.DataFrame:
         if find(row) != find(root):
             join(row, root)
     links: list[tuple[int, int]] = []
-    tried: set[tuple[int, ...]] = set()
-    for _, part in frame.groupby(["shingle", "one", "two"], sort=False):
+    for _, part in frame.groupby(["cluster", "one", "two"], sort=False):
         part = part.sort_values("row")
         rows = part["row"].to_numpy()
-        members = tuple(rows.tolist())
-        if members in tried or len({find(r) for r in members}) < 2:
-            continue
-        tried.add(members)
-        links += compared(rows, part["whole"].tolist(), find, join)
+        if len({find(r) for r in rows.tolist()}) > 1:
+            links += compared(rows, part["whole"].tolist(), find, join)
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def similar_links(sets: DataFrame, keyed: DataFrame, near: DataFrame, roots: DataFrame, width: int, seed: int, most: int = MOST_SETS) -> DataFrame:
-    """(a, b): links that, with ``near``, join all rows with similar sets.
+    """(a, b): links, ``near`` among them, that join all rows with similar sets; settled.
 
     ``sets`` has row, n and prefix, no two sets equal; ``roots`` (node, root) are
     the components of the links ``near``; keyed has row and text.
     """
-    shared = shared_prefixes(sets)
-    keys = keys_of(shared).join(roots, F.col("row") == F.col("node"), "left").select("row", "shingle", F.coalesce("root", "row").alias("root"))
+    prefixes = _shared(sets.select("row", "n", F.explode("prefix").alias("shingle")), assured(least_overlap(F.col("n"))))
+    texts = settle(whole_sets(keyed.join(prefixes.select("row").distinct(), "row", "left_semi"), width, seed))
+    discard(prefixes)
+    shared = texts.select("row", F.size("whole").alias("n"), F.explode("whole").alias("shingle"))
+    made: list[DataFrame] = []
+    for _ in range(ROUNDS):
+        made.append(_shared(shared, least_overlap(F.col("n"))))
+        shared = made[-1].drop("held")
+    keys = keys_of(made[-1]).join(roots, F.col("row") == F.col("node"), "left").select("row", "shingle", F.coalesce("root", "row").alias("root"))
     keys = settle(keys)
-    discard(shared)
+    discard(*made)
     # Keys whose texts have all met in one component are done with.
-    counts = keys.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("last"))
-    counts = settle(counts.select("shingle", "n", (F.col("least") < F.col("last")).alias("open"), F.ceil(F.col("n") / most).cast("int").alias("blocks")))
-    open_keys = settle(join_counted(keys, counts, ["shingle"], ["row"], F.col("open")).drop("open"))
-    discard(keys, counts)
-    texts = settle(whole_sets(keyed.join(open_keys.select("row").distinct(), "row", "left_semi"), width, seed))
+    counts = keys.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("last"), F.min("row").alias("first"))
+    counts = settle(counts.select("shingle", "n", "first", (F.col("least") < F.col("last")).alias("open")))
+    ties = join_counted(keys, counts, ["shingle"], ["row"], F.col("open")).select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
+    clusters = settle(smallest_reachable(settle(ties)))
+    sizes = settle(clusters.groupBy("root").agg(F.count("*").alias("n"), F.ceil(F.count("*") / most).cast("int").alias("blocks")))
+    members = join_counted(clusters, sizes, ["root"], ["node"]).select(F.col("node").alias("row"), F.col("root").alias("cluster"), "blocks")
+    members = members.join(roots, F.col("row") == F.col("node"), "left").select("row", "cluster", "blocks", F.coalesce("root", "row").alias("root"))
     block, other = F.pmod(F.xxhash64("row"), "blocks").cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = open_keys.withColumn("block", block).withColumn("other", other)
-    dealt = dealt.select("row", "root", "shingle", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    shards = max(1, -(-open_keys.count() // SHARD_ROWS))
-    shard = F.pmod(F.xxhash64("shingle", "one", "two"), F.lit(shards))
+    dealt = members.withColumn("block", block).withColumn("other", other)
+    dealt = settle(dealt.select("row", "root", "cluster", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")))
+    discard(keys, counts, clusters, sizes)
+    shards = max(1, -(-dealt.count() // SHARD_ROWS))
+    shard = F.pmod(F.xxhash64("cluster", "one", "two"), F.lit(shards))
     links = dealt.withColumn("shard", shard).join(texts, "row").groupBy("shard").applyInPandas(_compare_shard, "a long, b long")
-    return near.union(links)
+    links = settle(near.union(links))
+    discard(dealt, texts)
+    release(sets.sparkSession)
+    return links

@@ -208,7 +208,7 @@ def _similar_firsts(texts: DataFrame, order: Column, radius: int, most: int, wid
     equal = sets.join(prints.withColumnRenamed("row", "a"), "fp").where("row <> a").select("a", F.col("row").alias("b"))
     near = shingle_sets.similar_pairs(settle(between.union(equal)), texts, width, SEED)
     roots = settle(smallest_reachable(near))
-    links = settle(shingle_sets.similar_links(sets, texts, near, roots, width, SEED))
+    links = shingle_sets.similar_links(sets, texts, near, roots, width, SEED)
     roots = smallest_reachable(links)
     rooted = own.join(roots, own.row == roots.node, "left").select("own", F.coalesce("root", "row").alias("root"))
     return settle(rooted.groupBy("root").agg(F.min("own").alias("first")))
