@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from html.entities import name2codepoint
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,14 +81,13 @@ def drop_controls(text: Column) -> Column:
     return sub(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
 
 
-def composed(text: Column) -> Column:
-    """Canonical composition; Spark has no form of its own, so texts go through Arrow where they hold anything beyond Latin letters."""
-    import pandas as pd
+def _nfc(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFC")
 
-    def nfc(texts: pd.Series) -> pd.Series:
-        return texts.str.normalize("NFC")
 
-    made = F.pandas_udf(nfc, "string")(text)
+def composed(text: Column) -> Column:
+    """Canonical composition; Spark has no form of its own, so texts go through Arrow where they hold anything beyond Latin letters."""
+    made = F.pandas_udf(_nfc, "string")(text)
     return F.when(text.rlike("[^\\x00-\u02ff]"), made).otherwise(text)
 
 
@@ -209,17 +209,21 @@ def normalize_act_words(text: Column) -> Column:
     return sub(sub(text, alone.format("D[ÉE]CIDE"), "$1DÉCIDE$2"), alone.format("ORDONNE"), "$1ORDONNE$2")
 
 
+def article_heading() -> str:
+    """An article's heading: groups 2 to 4 hold its number as a word, in digits, or ``unique``."""
+    words = "|".join(sorted(rules.ORDINALS, key=len, reverse=True))
+    number = rf"(?:({words})|0*(\d+)\s*(?:er|[eè]re|[eè]me|e)?|(UNIQUE))"
+    return rf"(?iumUd)^(\s*+)(?:ARTICLE|ART\.?\s*)\s*{number}\s*[:.—–-]?\s*"
+
+
 def normalize_articles(text: Column) -> Column:
     """Article headings as ``Article n — `` on a new line; ordinal words first, then digits, then unique.
 
     One pass puts a heading's number between marks; ordinal words between them
     are looked up piece by piece.
     """
-    words = "|".join(sorted(rules.ORDINALS, key=len, reverse=True))
-    number = rf"(?:({words})|0*(\d+)\s*(?:er|[eè]re|[eè]me|e)?|(UNIQUE))"
-    heading = rf"(?iumUd)^(\s*+)(?:ARTICLE|ART\.?\s*)\s*{number}\s*[:.—–-]?\s*"
     mark, end = "\u0001", "\u0002"
-    pieces = F.split(sub(text, heading, f"$1\n{mark}$2$3$4{end} {DASH} "), mark, -1)
+    pieces = F.split(sub(text, article_heading(), f"$1\n{mark}$2$3$4{end} {DASH} "), mark, -1)
     numbers = F.create_map(*(F.lit(x) for word, n in rules.ORDINALS.items() for x in (word, str(n))))
 
     def one(piece: Column, at: Column) -> Column:

@@ -72,6 +72,12 @@ def _opens(line: Column, named: Column) -> Column:
     )
 
 
+def missing_labels(found: Column) -> Column:
+    """The labels that a whole act has and these sections lack."""
+    wanted = F.array(*map(F.lit, ("VISAS", "DISPOSITIF", "ARTICLES", "SIGNATURE")))
+    return F.array_except(wanted, F.transform(found, lambda s: s["label"]))
+
+
 def with_section_marks(text: Column) -> Column:
     """The sections one after the other, each non-empty one under its mark."""
     full = F.filter(sections(text), lambda s: s["content"] != "")

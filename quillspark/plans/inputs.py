@@ -119,3 +119,45 @@ SELECT l_orderkey AS page, l_linenumber AS ord, 'w' || CAST(l_partkey AS STRING)
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BOXES.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
+
+
+_PAGE_YEAR = "CAST(2018 + page_id % 7 AS STRING)"
+#: Pages of an archive site by page_id: their own URL and heading.
+SITE_BASE = "'https://www.prefecture-test.fr' || " + (
+    f"CASE page_id % 6 WHEN 0 THEN '/Publications/Annee-' || {_PAGE_YEAR} WHEN 1 THEN '/Raa-du-departement-de-Val-Test-' || {_PAGE_YEAR} || '/' "
+    "WHEN 2 THEN '/Publications/Recueil-des-actes-administratifs' WHEN 3 THEN '/Publications/Annee-2021/' || "
+    f"{_case('page_id % 12', MONTH_NAMES)} || '-2021' WHEN 4 THEN '/Publications' ELSE '/RAA/' END"
+)
+SITE_HEADING = "CASE page_id % 4 WHEN 0 THEN 'Recueil 2019 et 2020' WHEN 1 THEN 'Archives 1998' WHEN 2 THEN 'RAA 2023' ELSE '' END"
+_FOLDER = "regexp_replace(base, '/+$', '')"
+#: Links of such pages: to years, to months below and elsewhere, to documents, to another site.
+SITE_URL = (
+    "CASE (page_id + pos) % 8 WHEN 0 THEN 'https://www.prefecture-test.fr/Publications/Annee-' || CAST(2018 + pos % 7 AS STRING) "
+    f"WHEN 1 THEN {_FOLDER} || '/' || {_case('(page_id + pos) % 12', MONTH_NAMES)} || '-' || {_PAGE_YEAR} "
+    "WHEN 2 THEN 'https://www.prefecture-test.fr/contenu/telechargement/' || CAST(page_id % 40 AS STRING) || '/acte.pdf' "
+    f"WHEN 3 THEN {_FOLDER} || '/' || {_case('pos % 12', MONTH_NAMES)} || '?page=2' "
+    "WHEN 4 THEN 'https://www.prefecture-test.fr/Raa-du-departement-de-Val-Test-' || CAST(2018 + pos % 5 AS STRING) || '/Mars' "
+    f"WHEN 5 THEN 'https://www.prefecture-test.fr/Publications/Annee-2021/' || {_case('page_id % 12', MONTH_NAMES)} || '-2021' "
+    "WHEN 6 THEN 'https://autre-test.fr/raa/Annee-2020' ELSE base || '#haut' END"
+)
+SITE_LABEL = (
+    f"CASE (page_id + 2 * pos) % 5 WHEN 0 THEN 'Année ' || CAST(2018 + pos % 7 AS STRING) WHEN 1 THEN {_case('pos % 12', MONTH_NAMES)} || ' ' || {_PAGE_YEAR} "
+    "WHEN 2 THEN '' WHEN 3 THEN 'Lire la suite' ELSE label END"
+)
+SITE_SQL = (
+    f"SELECT page_id, pos, base, {SITE_URL} AS url, {SITE_LABEL} AS label FROM (SELECT page_id, pos, label, {SITE_BASE} AS base FROM ("
+    + LINKS_SQL.replace(LINK_URL, "href").replace(LINK_LABEL, "label")
+    + "))"
+)
+
+
+def site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, pos, base, url, label of the links of a site's pages."""
+    from quillspark.operators.archive import anchors
+
+    rows = anchors(table(spark, sf_dir, "pages")).select("page_id", F.col("pos").cast("long").alias("pos"), "label", F.expr(SITE_BASE).alias("base"))
+    return rows.select("page_id", "pos", "base", F.expr(SITE_URL).alias("url"), F.expr(SITE_LABEL).alias("label"))
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", F.expr(SITE_BASE).alias("base"), F.expr(SITE_HEADING).alias("heading"))
