@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -89,6 +90,20 @@ def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Arrow batches of so many rows and bytes at most for jobs that run inside; the session's own bounds come back after."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key, None) for key in bounds}
+    try:
+        for key, bound in bounds.items():
+            spark.conf.set(key, str(bound))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def map_batches(
     df: DataFrame,
     per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]],

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.chunks import PieceMemory
-from quillspark.llm.common import bounded, settle, table, with_row_key
+from quillspark.llm.common import arrow_batches, bounded, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
 #: Bytes of input that a shard takes; small inputs have more shards than that, for all cores to work.
@@ -284,7 +284,8 @@ def write_library_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     shards = max(-(-size // SHARD_BYTES), 4 * docs.sparkSession.sparkContext.defaultParallelism)
     width = width_of(vocabulary_size(path))
-    return settle(packed_segments(docs, lambda: library_encoder(path).batch, width, end_id, shards))
+    with arrow_batches(docs.sparkSession):
+        return settle(packed_segments(docs, lambda: library_encoder(path).batch, width, end_id, shards))
 
 
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
