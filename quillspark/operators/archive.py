@@ -45,7 +45,13 @@ def months_between(rows: DataFrame, month_key: str, a: str, b: str) -> DataFrame
     return rows.where(F.col(month_key).between(min(a, b), max(a, b)))
 
 
-def site_map(links: DataFrame) -> DataFrame:
-    """year, months: one row a year, its months with their documents, as nested arrays."""
-    docs = links.groupBy("year", "month").agg(F.array_sort(F.collect_set(F.struct("url", "label"))).alias("documents"))
-    return docs.groupBy("year").agg(F.array_sort(F.collect_list(F.struct("month", "documents"))).alias("months"))
+def site_map(documents: DataFrame) -> DataFrame:
+    """year, month, n_docs: the months of a site with their documents counted; the documents stay rows of their own."""
+    return documents.groupBy("year", "month").agg(F.count("*").alias("n_docs"))
+
+
+def site_summary(documents: DataFrame) -> DataFrame:
+    """year, n_months, n_docs, first_month, last_month."""
+    return site_map(documents).groupBy("year").agg(
+        F.count("*").alias("n_months"), F.sum("n_docs").alias("n_docs"), F.min("month").alias("first_month"), F.max("month").alias("last_month")
+    )

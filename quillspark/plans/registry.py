@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import cleaning, extract, rules, web
@@ -428,11 +428,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("site_map_summary", f"SELECT year, count(DISTINCT month) AS n_months, count(*) AS n_docs, min(month) AS first_month, max(month) AS last_month FROM ({_DOCS}) GROUP BY year")
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = archive.site_map(_documents(spark, sf_dir)).select("year", F.explode("months").alias("m"))
-    counted = months.groupBy("year").agg(
-        F.countDistinct("m.month").alias("n_months"), F.sum(F.size("m.documents")).alias("n_docs"), F.min("m.month").alias("first_month"), F.max("m.month").alias("last_month")
-    )
-    return counted
+    return archive.site_summary(_documents(spark, sf_dir))
 
 
 _HISTORY = "SELECT DISTINCT 'https://www.prefecture-test.fr/contenu/telechargement/' || CAST(event_id % 25 AS STRING) || '/acte.pdf' AS url FROM events WHERE event_type <> 'click'"
@@ -506,8 +502,8 @@ def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("unique_acts", f"SELECT date_acte, id FROM (SELECT date_acte, id, row_number() OVER (PARTITION BY date_acte ORDER BY id) AS k FROM ({inputs.RAA_ROWS})) WHERE k = 1")
 def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("date_acte").orderBy("id")
-    return inputs.raa_rows(spark, sf_dir).select("date_acte", "id").withColumn("k", F.row_number().over(order)).where("k = 1").drop("k")
+    rows = inputs.raa_rows(spark, sf_dir).select("date_acte", "id")
+    return archive.keep_first(rows, ["date_acte"], [F.col("id")])
 
 
 # ---- streams: run over what is there, then read as tables ----
@@ -527,16 +523,17 @@ def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, checkpoint = _stream_paths(spark)
     events = _table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    streams.latest_to_end(streams.activity(events), table, checkpoint)
-    return spark.read.parquet(table).withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("total", F.round("total", 4))
+    streams.updates_to_end(streams.activity(events), table, checkpoint)
+    latest = streams.latest_of(spark.read.parquet(table), ["start", "event_type"], ["n", "total"])
+    return latest.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("total", F.round("total", 4))
 
 
 @query("stream_new_urls", "SELECT DISTINCT 'https://a.example/' || CAST(user_id AS STRING) || '/' || event_type AS url FROM events")
 def _new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, checkpoint = _stream_paths(spark)
     url = F.concat(F.lit("https://a.example/"), F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"))
-    streams.run_to_end(streams.new_urls(_table_stream(spark, sf_dir, "events").select(url.alias("url"))), table, checkpoint)
-    return spark.read.parquet(table)
+    streams.new_keys_to_end(_table_stream(spark, sf_dir, "events").select(url.alias("url")), "url", table, checkpoint)
+    return spark.read.parquet(table).select("url")
 
 
 # ---- crawl plan ----

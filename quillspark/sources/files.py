@@ -57,9 +57,13 @@ def _decoded(content: pd.Series, encoding: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["encoding", "text"])
 
 
-def read_texts(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """path, encoding, text of every text file, read once; valid UTF-8 is cast, and only other bytes go through Python."""
-    raw = read_raw(spark, path, recursive).withColumn("encoding", encoding_of(F.col("content")))
+def read_texts(spark: SparkSession, path: str, recursive: bool = False, statistics: bool = False) -> DataFrame:
+    """path, encoding, text of every text file, read once; valid UTF-8 is cast, and only other bytes go through Python.
+
+    What has no mark and is not UTF-8 is windows-1252, or, if asked for, what the statistics of its bytes tell.
+    """
+    told = encoding_of(F.col("content"))
+    raw = read_raw(spark, path, recursive).withColumn("encoding", told if statistics else F.coalesce(told, F.lit("windows-1252")))
     plain = F.col("encoding").isin("utf-8", "utf-8-sig") & F.col("encoding").isNotNull()
     decode = F.pandas_udf(_decoded, "encoding string, text string")
     other = decode(F.when(~F.coalesce(plain, F.lit(False)), F.col("content")), F.col("encoding"))

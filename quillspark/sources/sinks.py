@@ -27,7 +27,7 @@ def stem_of(path: Column, suffix: str = "") -> Column:
 
 def mirrored(path: Column, suffix: str) -> Column:
     """A file's path with a suffix before its extension."""
-    return F.regexp_replace(path, r"(\.[^./]*)?$", f"{suffix}$1")
+    return F.regexp_replace(path, r"^(.*?)(\.[^./]*)?$", f"$1{suffix}$2")
 
 
 def anonymized_files(texts: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def test_lines(spark):
 
 def test_web(spark):
     rows = spark.createDataFrame([("https://www.a.fr/Annee-2020/Mai-2020", "x"), ("https://a.fr/contenu/telechargement/3/f%20g", "Année 2019")], "url string, label string")
-    got = rows.select(web.page_kind(F.col("url")).alias("k"), web.year_of(F.col("url"), F.col("label")).alias("y"), web.month_of(F.col("url"), F.col("label")).alias("m"), web.file_name(F.col("url")).alias("f")).collect()
+    got = rows.select(web.link_kind(F.col("url")).alias("k"), web.year_of(F.col("url"), F.col("label")).alias("y"), web.month_of(F.col("url"), F.col("label")).alias("m"), web.file_name(F.col("url")).alias("f")).collect()
     assert [tuple(r) for r in got] == [("month", 2020, 5, "Mai-2020.pdf"), ("pdf", 2019, 0, "f g.pdf")]
     base = F.lit("https://a.fr/d/p?q")
     assert apply(spark, lambda h: web.absolute(h, base), "/x", "y", "//b.c/z", "#k", "http://q/", "") == ["https://a.fr/x", "https://a.fr/d/y", "https://b.c/z", "https://a.fr/d/p#k", "http://q/", None]
@@ -177,4 +177,4 @@ def test_files_and_stream(spark, tmp_path):
     assert got == {"a.txt": ("utf-8", "é\nPAGE 3"), "b.txt": ("windows-1252", "é"), "c.txt": ("utf-8-sig", "x")}
     stream = streams.cleaned_stream(streams.text_stream(spark, str(tmp_path / "in")))
     streams.run_to_end(stream.where("path LIKE '%a.txt'"), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert [r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["é\n"]
+    assert [r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["\n=== ENTETE_GLOBAL ===\né\n"]
