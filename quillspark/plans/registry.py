@@ -88,9 +88,25 @@ for _name, _pattern, _by in cleaning.TYPOGRAPHY:
 _cleaning("clean_s4_all", ["S O M M A I R E\nL'arrete n°12 : \"oui\"; a,b........4", "x -- y ?"], cleaning.fix_typography, None)
 
 
-@query("clean_s4_audit")
+_AUDITED = ["l'acte : \"oui\" ; fin.Debut", "n° 4 -- a"]
+
+
+def _sql_audit() -> str:
+    """Matches of each rule on the text that the rules before it left; runs of single capitals stand in no text here."""
+    sql, n = f"SELECT doc_id, t AS t0 FROM ({inputs.noisy_sql(_AUDITED)})", 0
+    counts = []
+    for name, (_, pairs) in _MARKS.items():
+        if pairs:
+            pattern = pairs[0][0].replace("'", "''")
+            counts.append(f"SELECT '{name}' AS type, len(regexp_extract_all(t{n}, '{pattern}')) AS n FROM every")
+            sql = f"SELECT *, {_r(f't{n}', *pairs)} AS t{n + 1} FROM ({sql})"
+            n += 1
+    return f"WITH every AS ({sql}) SELECT type, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM ({' UNION ALL '.join(counts)}) WHERE n > 0 GROUP BY type"
+
+
+@query("clean_s4_audit", _sql_audit())
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.noisy(spark, sf_dir, ["l'acte : \"oui\" ; fin.Debut", "n° 4 -- a"])
+    rows = inputs.noisy(spark, sf_dir, _AUDITED)
     found = cleaning.typography_audit(rows, "t").select("doc_id", F.explode_outer("corrections").alias("a")).where("a IS NOT NULL")
     return found.groupBy("a.type").agg(F.count("*").alias("n_docs"), F.sum("a.count").alias("total"))
 
@@ -99,33 +115,42 @@ _PAGE = (
     rf"(?m)^{S}*(?:=+{S}*(?:PAGE|Page|page){S}*\d+{S}*=+|(?:PAGE|Page|page){S}*\d+(?:{S}*/{S}*\d+)?(?:{S}+sur{S}+\d+)?"
     rf"|(?:P\.?|p\.?){S}*\d+|\d+{S}*/{S}*\d+|[-—–]{S}*\d+{S}*[-—–]|\d+)(?:{S}*)$"
 )
-_cleaning(
-    "clean_s5_page_numbers", ["PAGE 3\nVu le texte\n1/12\nfin", "=== PAGE 4 ===\nUn\n- 5 -\nDeux Page 6 trois", "====\nx\np. 3\ny"], cleaning.strip_page_numbers,
-    _r("t", (_PAGE, ""), (rf"(^|{NL})[Pp]age{S}*\d+($|{NL})", r"\1\2"), (rf"(?m)^=+{S}*=+$", ""), (r"\n{3,}", "\n\n"), (rf"^{S}+|{S}+$", "")),
-)
-_cleaning(
-    "clean_s5_act_words", ["Arrete\nsuite", "  decide \nx\nARRÊTÉ\n", "ordonne"], cleaning.normalize_act_words,
-    _r("t", (rf"(?mi)^({S}*)ARR[Êê]TE({S}*)$|^({S}*)ARRETE({S}*)$", r"\1\3ARRÊTE\2\4"), (rf"(?mi)^({S}*)ARR[EÊê]T[Éé]({S}*)$", r"\1ARRÊTÉ\2"),
-       (rf"(?mi)^({S}*)D[ÉEé]CIDE({S}*)$", r"\1DÉCIDE\2"), (rf"(?mi)^({S}*)ORDONNE({S}*)$", r"\1ORDONNE\2")),
-)
 
 
-def _sql_articles() -> str:
+def _sql_unpaged(t: str) -> str:
+    return _r(t, (_PAGE, ""), (rf"(^|{NL})[Pp]age{S}*\d+($|{NL})", r"\1\2"), (rf"(?m)^=+{S}*=+$", ""), (r"\n{3,}", "\n\n"), (rf"^{S}+|{S}+$", ""))
+
+
+def _sql_act_words(t: str) -> str:
+    return _r(
+        t, (rf"(?mi)^({S}*)ARR[Êê]TE({S}*)$|^({S}*)ARRETE({S}*)$", r"\1\3ARRÊTE\2\4"), (rf"(?mi)^({S}*)ARR[EÊê]T[Éé]({S}*)$", r"\1ARRÊTÉ\2"),
+        (rf"(?mi)^({S}*)D[ÉEé]CIDE({S}*)$", r"\1DÉCIDE\2"), (rf"(?mi)^({S}*)ORDONNE({S}*)$", r"\1ORDONNE\2"),
+    )
+
+
+def _sql_keywords(t: str) -> str:
+    return _r(
+        t, (rf"(?m)^({S}*)(?:VU|vu)($|{NL})", r"\1Vu\2"), (rf"(?m)^({S}*)(?:CONSID[ÉE]RANT|Consid[ée]rant|consid[ée]rant)($|{NL})", r"\1Considérant\2"),
+        (rf"(?m)^({S}*)(?:ATTENDU|attendu)($|{NL})", r"\1Attendu\2"),
+    )
+
+
+_cleaning("clean_s5_page_numbers", ["PAGE 3\nVu le texte\n1/12\nfin", "=== PAGE 4 ===\nUn\n- 5 -\nDeux Page 6 trois", "====\nx\np. 3\ny"], cleaning.strip_page_numbers, _sql_unpaged("t"))
+_cleaning("clean_s5_act_words", ["Arrete\nsuite", "  decide \nx\nARRÊTÉ\n", "ordonne"], cleaning.normalize_act_words, _sql_act_words("t"))
+
+
+def _sql_articles(t: str) -> str:
     pairs = []
     for word in sorted(rules.ORDINALS, key=len, reverse=True):
         word_ci = word.replace("è", "[èÈ]")
         pairs.append((rf"(?mi)^({S}*)(?:ARTICLE|ART\.?{S}*){S}*{word_ci}{S}*[:.—–-]?{S}*", rf"\1{chr(10)}\x01 {rules.ORDINALS[word]} — ".replace(r"\x01", "\x01")))
     pairs.append((rf"(?mi)^({S}*)(?:ARTICLE|ART\.?{S}*){S}*0*(\d+){S}*(?:er|[eèÈ]re|[eèÈ]me|e)?{S}*[:.—–-]?{S}*", "\\1\n\x01 \\2 — "))
     pairs.append((rf"(?mi)^({S}*)(?:ARTICLE|ART\.?{S}*){S}*UNIQUE{S}*[:.—–-]?{S}*", "\\1\n\x01 unique — "))
-    return f"replace({_r('t', *pairs)}, '\x01', 'Article')"
+    return f"replace({_r(t, *pairs)}, '\x01', 'Article')"
 
 
-_cleaning("clean_s5_articles", ["ARTICLE PREMIER: Le texte\nArt. 2. Deux\nArticle 3ème - trois", "Article Unique. x\nart 12 : y", "ARTICLE DEUXIÈME"], cleaning.normalize_articles, _sql_articles())
-_cleaning(
-    "clean_s5_keywords", ["VU le code\nCONSIDERANT que\nattendu x", "vu\n considérant y", "Vue"], cleaning.normalize_keywords,
-    _r("t", (rf"(?m)^({S}*)(?:VU|vu)($|{NL})", r"\1Vu\2"), (rf"(?m)^({S}*)(?:CONSID[ÉE]RANT|Consid[ée]rant|consid[ée]rant)($|{NL})", r"\1Considérant\2"),
-       (rf"(?m)^({S}*)(?:ATTENDU|attendu)($|{NL})", r"\1Attendu\2")),
-)
+_cleaning("clean_s5_articles", ["ARTICLE PREMIER: Le texte\nArt. 2. Deux\nArticle 3ème - trois", "Article Unique. x\nart 12 : y", "ARTICLE DEUXIÈME"], cleaning.normalize_articles, _sql_articles("t"))
+_cleaning("clean_s5_keywords", ["VU le code\nCONSIDERANT que\nattendu x", "vu\n considérant y", "Vue"], cleaning.normalize_keywords, _sql_keywords("t"))
 
 
 def _sql_titles() -> str:
@@ -211,7 +236,26 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acts.withColumn("contenu_md5", F.md5("contenu")).drop("contenu")
 
 
-@query("act_files")
+_STRIP = (rf"^{S}+|{S}+$", "")
+
+
+def _first_piece(text: str) -> str:
+    """What stands before the first header of an act."""
+    return f"string_split({_r(text, (f'({_HEADER})', chr(1) + chr(92) + '1'))}, chr(1))[1]"
+
+
+_HEAD_SQL = (
+    f"CASE WHEN regexp_matches(act, '(?i)(^|{NL})SOMMAIRE($|{NL})') THEN regexp_extract(act, '(?is)^(.*?)(?:^|{NL})SOMMAIRE(?:$|{NL})', 1) "
+    f"WHEN regexp_matches(act, '{_HEADER}') THEN {_first_piece('act')} ELSE '' END"
+)
+_TAIL = f"regexp_extract(act, '(?is)(?:^|{NL})(SOMMAIRE(?:$|{NL}).*)$', 1)"
+
+
+@query("act_files", f"""
+WITH a AS (SELECT * FROM ({_SPLIT.replace('md5(contenu) AS contenu_md5', 'contenu')})), h AS (SELECT doc_id, {_r(_HEAD_SQL, _STRIP)} AS head, {_r(_first_piece(_TAIL), _STRIP)} AS listed FROM ({inputs.acts_sql()}))
+SELECT source, 'arrete_' || lpad(CAST("index" AS VARCHAR), 3, '0') || '.txt' AS name, md5(head || chr(10) || chr(10) || listed || chr(10) || chr(10) || contenu) AS file_md5
+FROM a JOIN h ON a.source = h.doc_id
+""")
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.acts(spark, sf_dir)
     acts = act_ops.split_acts(docs, "doc_id", "act")
@@ -254,7 +298,10 @@ def _tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.tagged(rows, "act", list(rules.FIELDS)).select("doc_id", F.md5("act").alias("tagged_md5"))
 
 
-@query("act_json")
+@query("act_json", f"""
+SELECT doc_id, CAST(to_json({{'id': doc_id + 1, 'numero_acte': numero_acte, 'date': date_acte, 'prefecture': prefecture, 'auteur': fonction_auteur,
+       'objet': objet_large, 'base_legale': base_legale, 'contenu': {_r("act", _STRIP)}}}) AS VARCHAR) AS json FROM (SELECT doc_id, act, {_FIELDS} FROM ({inputs.acts_sql()}))
+""")
 def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.acts(spark, sf_dir).select("doc_id", "act", *extract.fields(F.col("act")))
     return rows.select("doc_id", extract.act_json(F.col("doc_id"), F.col("act"), {n: F.col(n) for n in rules.FIELDS}).alias("json"))
@@ -270,10 +317,27 @@ def _anonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.acts(spark, sf_dir).select("doc_id", F.md5(extract.anonymized(F.col("act"))).alias("anonymized_md5"))
 
 
-@query("validate_structure")
+_STRUCTURED = _sql_keywords(_sql_articles(_sql_act_words(_sql_unpaged("act"))))
+
+
+@query("validate_structure", f"""
+WITH c AS (SELECT doc_id, {_STRUCTURED} AS t FROM ({inputs.acts_sql()})
+), n AS (
+  SELECT doc_id, t, regexp_extract_all(t, '(?mi)^{S}*Article{S}+(\\d+|1er|unique){S}', 1) AS ns, regexp_extract(t, '(?m)^{S}*(ARR[ÊÉE]TE|D[ÉE]CIDE|ORDONNE){S}*$', 1) AS head,
+         len(regexp_extract_all(t, '«')) AS opens, len(regexp_extract_all(t, '»')) AS closes, len(regexp_extract_all(t, '(?m)^{S}*Vu(?:$|{NL})')) AS visas FROM c
+), f AS (SELECT *, list_transform(list_filter(ns, lambda x: regexp_matches(x, '^[0-9]')), lambda x: CAST(regexp_extract(x, '^(\\d+)', 1) AS BIGINT)) AS found FROM n
+)
+SELECT doc_id, true AS valid, nullif(head, '') AS title, CAST(len(ns) AS INT) AS article_count, CASE WHEN ns[1] = 'unique' THEN 'unique' WHEN len(ns) > 0 THEN 'numbered' END AS article_type,
+       CAST(opens AS INT) AS opens, CAST(closes AS INT) AS closes, CAST(visas AS INT) AS visas,
+       array_to_string(list_concat(list_concat(CASE WHEN head = '' THEN ['aucun titre'] ELSE [] END,
+         CASE WHEN coalesce(ns[1], '') = 'unique' THEN [] ELSE list_transform(list_filter(range(1, len(found) + 1), lambda i: found[i] <> CASE WHEN i = 1 THEN 1 ELSE found[i - 1] + 1 END),
+           lambda i: 'séquence: article ' || CAST(CASE WHEN i = 1 THEN 1 ELSE found[i - 1] + 1 END AS VARCHAR) || ' attendu, article ' || CAST(found[i] AS VARCHAR) || ' trouvé') END),
+         list_concat(CASE WHEN opens <> closes THEN ['guillemets déséquilibrés'] ELSE [] END, CASE WHEN visas = 0 THEN ['aucun visa'] ELSE [] END)), '; ') AS warnings
+FROM f
+""")
 def _validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.fix_structure(F.col("act"))
-    return inputs.acts(spark, sf_dir).select("doc_id", clean.alias("act")).select("doc_id", extract.validation(F.col("act")).alias("v")).select("doc_id", "v.*")
+    return inputs.acts(spark, sf_dir).select("doc_id", clean.alias("act")).select("doc_id", extract.validation(F.col("act")).alias("v")).select("doc_id", "v.*").withColumn("warnings", F.array_join("warnings", "; "))
 
 
 @query("diff_lines")
