@@ -16,22 +16,22 @@ ODD = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z")
 
 #: Pieces of a generation: a worker remembers two, and forgets the older one when the newer is full.
 #: Longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 1 << 18, 64
+MOST_PIECES, LONGEST_PIECE = 1 << 16, 64
 
 
 class PieceMemory(dict):
     """What ``make`` gives for each piece, remembered within bounds; pieces in use outlive the others."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, most: int = MOST_PIECES):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, piece):
         made = self.older.get(piece)
         if made is None:
             made = self.make(piece)
         if len(piece) <= LONGEST_PIECE:
-            if len(self) >= MOST_PIECES:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[piece] = made
@@ -41,10 +41,10 @@ class PieceMemory(dict):
 class PieceEncoder:
     """Encodings of a text's pieces in order; ``encode`` encodes any string."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes], most: int = MOST_PIECES):
         self.encode = encode
-        self.plain = PieceMemory(encode)
-        self.spaced = PieceMemory(lambda word: encode(" " + word))
+        self.plain = PieceMemory(encode, most)
+        self.spaced = PieceMemory(lambda word: encode(" " + word), most)
 
     def __call__(self, text: str) -> list[bytes]:
         if not text:

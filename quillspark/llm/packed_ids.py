@@ -41,6 +41,8 @@ from quillspark.llm.chunks import PieceMemory
 from quillspark.llm.common import arrow_batches, bounded, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
+#: Words of a generation that an encoder remembers.
+MOST_WORDS = 1 << 18
 #: Bytes of input that a shard takes; small inputs have more shards than that, for all cores to work.
 SHARD_BYTES = 128 << 20
 _HEAD = struct.Struct("<4sIQII")
@@ -144,8 +146,8 @@ class LibraryEncoder:
                 self.letters[ord(c)] = cut.pre_tokenize_str(c)[0][0]
             self.space = cut.pre_tokenize_str(" a")[0][0][:-1]
         self.tails = {tail: [t.id for t in self.model.tokenize(tail)] for tail in _TAILS} if self.letters else {}
-        self.plain = PieceMemory(lambda word: self.encode(word, ""))
-        self.spaced = PieceMemory(lambda word: self.encode(word, " "))
+        self.plain = PieceMemory(lambda word: self.encode(word, ""), MOST_WORDS)
+        self.spaced = PieceMemory(lambda word: self.encode(word, " "), MOST_WORDS)
 
     def encode(self, word: str, before: str) -> bytes:
         """The ids of a word behind a space or nothing."""

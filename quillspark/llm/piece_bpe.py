@@ -28,7 +28,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm.chunks import PieceEncoder, PieceMemory
+from quillspark.llm.chunks import MOST_PIECES, PieceEncoder, PieceMemory
 from quillspark.llm.common import map_batches, table
 
 #: The letter of byte b is the code point FIRST_LETTER + b: letters all, none of them white space or combining.
@@ -36,6 +36,8 @@ FIRST_LETTER = 0x100
 _LETTERS = {b: FIRST_LETTER + b for b in range(256)}
 #: sentencepiece's numbers for its model fields (fixed values of its public schema).
 _BPE, _NORMAL, _UNKNOWN = 2, 1, 2
+#: Pieces that a worker remembers where encoding is all it does.
+MOST_ALONE = 1 << 18
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -81,7 +83,7 @@ def model_bytes(ranks: dict[bytes, int]) -> bytes:
 class PieceBpe:
     """Encodes and decodes texts; kept by a worker between batches."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, most: int):
         ranks = load_ranks(path)
         self.tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
@@ -89,8 +91,8 @@ class PieceBpe:
         whole = self.processor.encode([letters(t) for t in self.tokens], num_threads=1)
         #: Tokens that merging does not reach.
         self.unreached = {self.tokens[i]: i for i, ids in enumerate(whole) if ids != [i]}
-        self.pieces = PieceEncoder(self.encode_listed)
-        self.decoded = PieceMemory(self.decode_listed)
+        self.pieces = PieceEncoder(self.encode_listed, most)
+        self.decoded = PieceMemory(self.decode_listed, most)
 
     def encode(self, text: str) -> list[int]:
         raw = [t.encode() for t in self.split(text)]
@@ -119,8 +121,9 @@ class PieceBpe:
 
 
 @lru_cache(maxsize=2)
-def piece_bpe(path: str, pattern: str) -> PieceBpe:
-    return PieceBpe(path, pattern)
+def piece_bpe(path: str, pattern: str, most: int = MOST_PIECES) -> PieceBpe:
+    """A worker's coder, which remembers so many pieces of a generation."""
+    return PieceBpe(path, pattern, most)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -166,7 +169,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder = piece_bpe(path, pattern)
+        coder = piece_bpe(path, pattern, MOST_ALONE)
         rows = [coder.digests(t) for t in batch.column("text").to_pylist()]
         n, ids, decoded = zip(*rows) if rows else ((), (), ())
         columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
