@@ -41,8 +41,8 @@ from quillspark.llm.chunks import PieceMemory
 from quillspark.llm.common import arrow_batches, bounded, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
-#: Words of a generation that an encoder remembers.
-MOST_WORDS = 1 << 18
+#: Words of a generation that an encoder remembers: what a table of 2**19 places holds before it grows.
+MOST_WORDS = 340_000
 #: Bytes of input that a shard takes; small inputs have more shards than that, for all cores to work.
 SHARD_BYTES = 128 << 20
 _HEAD = struct.Struct("<4sIQII")
@@ -194,7 +194,7 @@ class LibraryEncoder:
         starts = np.cumsum(sizes) - sizes
         n = sizes[kind]
         ends = np.cumsum(n)
-        ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[kind] - (ends - n), n)]
+        ids = pool[np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat((starts[kind] - (ends - n)).astype(np.int32), n)]
         cuts = np.concatenate([[0], ends])[begins]
         return [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
