@@ -41,19 +41,35 @@ def origin_of(url: Column) -> Column:
 
 
 def absolute(href: Column, base: Column) -> Column:
-    """A link resolved against its page's URL; dot segments are left to the server."""
+    """A link resolved against its page's URL, dot segments included; null for an empty one."""
     origin, scheme = origin_of(base), F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
-    folder = F.regexp_replace(strip_suffix(base), r"[^/]*$", "")
+    folder = F.concat(origin, F.regexp_extract(strip_suffix(base), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(/(?:.*/)?)?", 1))
+    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    joined = (
+        F.when(href.startswith("/"), F.concat(origin, href)).when(href.rlike("^[?#]"), F.concat(strip_suffix(base), href)).otherwise(F.concat(folder, href))
+    )
     return (
-        F.when(href.isNull() | (href == ""), F.lit(None).cast("string"))
+        F.when(href.isNull() | (F.trim(href) == ""), F.lit(None).cast("string"))
         .when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.rlike("^[?#]"), F.concat(strip_suffix(base), href))
-        .otherwise(F.concat(folder, href))
+        .otherwise(without_dots(joined))
     )
 
 
+def without_dots(url: Column) -> Column:
+    """The URL with ``.`` and ``..`` segments of its path worked out."""
+    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)?", 1)
+    segments = F.slice(F.split(path, "/", -1), 2, 1 << 30)
+    up = lambda kept: F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", up(kept)).when(s == ".", kept).otherwise(F.array_append(kept, s)),
+    )
+    tail = F.when(path.rlike(r"/\.{1,2}$") & (F.size(kept) > 0), "/").otherwise("")
+    made = F.concat(F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1), F.lit("/"), F.array_join(kept, "/"), tail, F.regexp_extract(url, r"([?#].*)$", 1))
+    return F.when(path.rlike(r"/\.{1,2}(?:/|$)"), made).otherwise(url)
+
+
 def is_pdf(url: Column) -> Column:
     return url.rlike(r"(?i)\.pdf(?:$|[?#])") | url.rlike(r"(?i)/(?:i?re)?contenu/telechargement/")
 

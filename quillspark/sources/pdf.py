@@ -52,3 +52,22 @@ def texts(of_pages: DataFrame) -> DataFrame:
     share = F.regexp_count("text", F.lit(r"\(cid:")) / F.greatest(F.length("text"), F.lit(1))
     route = F.when(F.col("failed") | F.col("image") | (share > 0.01), "ocr").otherwise("texte")
     return files.withColumn("text", text).select("path", "text", route.alias("route"))
+
+
+Recognizer = Callable[[bytes], Iterable[list[tuple[str, int, int]]]]
+BOXES = "path string, page int, ord int, word string, x int, y int"
+
+
+def boxes(files: DataFrame, recognizer: Recognizer | None) -> DataFrame:
+    """path, page, ord, word, x, y: the word boxes that a recognizer of images finds on each page, for ``lines_of_boxes``."""
+    if recognizer is None:
+        raise RuntimeError("give a recognizer of PDF bytes: this package has none of its own")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"]):
+                for page, words in enumerate(recognizer(bytes(content)), 1):
+                    rows = [(path, page, i, word, x, y) for i, (word, x, y) in enumerate(words)]
+                    yield pd.DataFrame(rows, columns=["path", "page", "ord", "word", "x", "y"])
+
+    return files.select("path", "content").mapInPandas(run, BOXES)

@@ -204,3 +204,39 @@ def test_streams_remember_keys_over_runs(spark, tmp_path):
 def test_a_cluster_needs_a_shared_folder(spark):
     assert base.shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert sites and inputs
+
+
+def test_links_are_resolved_as_browsers_do(spark):
+    from urllib.parse import urljoin
+
+    hrefs = ["a.pdf", "./a", "../a", "../../../x", "/b/../c", "?q=1", "#h", "//b.fr/x", "http://c.fr/y", "a/./b/..", "..", "."]
+    for base_url in ("https://a.fr/p/q/r.html?x=1", "https://a.fr/p/", "https://a.fr"):
+        got = column(spark, lambda h, b=base_url: web.absolute(h, F.lit(b)), *hrefs)
+        assert got == [urljoin(base_url if base_url.count("/") > 2 else base_url + "/", h) if h not in ("?q=1", "#h") else urljoin(base_url, h).replace("?x=1#", "#") for h in hrefs], base_url
+    assert column(spark, lambda h: web.absolute(h, F.lit(SITE)), "", None) == [None, None]
+
+
+def test_commands(spark, tmp_path):
+    from quillspark import run
+
+    (tmp_path / "in").mkdir()
+    act = "ARRETE N° 2020-1 portant avis\nVu le code\nMonsieur Jean DUPONTEST\nLe préfet\nArticle 1 : " + "x " * 200 + "\nFait à Testville"
+    (tmp_path / "in/a.txt").write_text(act)
+    for command in ("clean", "anonymise", "unpage", "rejoin", "extract"):
+        run.main([command, str(tmp_path / "in"), str(tmp_path / command)])
+    assert "XXX" in spark.read.text(str(tmp_path / "anonymise"), wholetext=True).head().value
+    assert os.path.isdir(tmp_path / "clean/acts/source=a") and spark.read.parquet(str(tmp_path / "extract")).head().json
+    html = '<a href="Mai-2020">Mai</a><a href="/contenu/telechargement/1/x">X</a>'
+    spark.createDataFrame([(1, SITE + "/Annee-2020/", html)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages"))
+    run.main(["crawl", str(tmp_path / "pages"), str(tmp_path / "site")])
+    assert [r.month_key for r in spark.read.parquet(str(tmp_path / "site/months")).collect()] == ["2020-05"]
+
+
+def test_boxes_through_a_recognizer(spark, tmp_path):
+    from quillspark.operators import lines
+
+    (tmp_path / "a.pdf").write_bytes(b"x")
+    found = pdf.boxes(pdf.pdf_files(spark, str(tmp_path)), lambda raw: [[("b", 50, 0), ("a", 5, 10)], []])
+    assert [r.text for r in lines.lines_of_boxes(found, "page").collect()] == ["a b"]
+    with pytest.raises(RuntimeError):
+        pdf.boxes(pdf.pdf_files(spark, str(tmp_path)), None)
