@@ -66,6 +66,12 @@ def settle(df: DataFrame) -> DataFrame:
     return settled
 
 
+def local_table(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
+    """A small table of longs from the driver, sent as Arrow: no executor starts Python for it."""
+    columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))]
+    return spark.createDataFrame(pa.table(columns, names=list(names)))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete settled tables from which everything that is needed has been settled in its turn."""
     for df in tables:

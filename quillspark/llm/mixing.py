@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WORD, discard, join_counted, settle, table, word_count
+from quillspark.llm.common import WORD, discard, join_counted, local_table, settle, table, word_count
 
 #: The hash places of the seeded order: 15 hexadecimal digits, taken BIN_DIGITS at a time for LEVELS levels of bins.
 PLACE_DIGITS, BIN_DIGITS, LEVELS = 15, 3, 2
@@ -60,7 +60,7 @@ def weighed(sized: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     ranged = settle(sums.repartitionByRange(ranges, *KEYS).withColumn("part", F.spark_partition_id()))
     by_part = sorted((r.part, r["count"]) for r in ranged.groupBy("part").count().collect())  # a row a range
     before = [(part, sum(c for _, c in by_part[:k])) for k, (part, _) in enumerate(by_part)]
-    offsets = sized.sparkSession.createDataFrame(before, "part int, before long")
+    offsets = local_table(sized.sparkSession, ("part", "before"), before)
     number = F.row_number().over(Window.partitionBy("part").orderBy(*KEYS)) - 1 + F.col("before")
     weight = F.get(F.array(*map(F.lit, weights)), F.pmod(number, F.lit(len(weights))).cast("int"))
     made = settle(ranged.join(F.broadcast(offsets), "part").select(*KEYS, "n", "size", weight.cast("long").alias("weight")))

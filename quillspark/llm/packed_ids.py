@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.chunks import PieceMemory
-from quillspark.llm.common import arrow_batches, bounded, settle, table, with_row_key
+from quillspark.llm.common import arrow_batches, bounded, local_table, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
 #: Words of a generation that an encoder remembers: what a table of 2**19 places holds before it grows.
@@ -259,7 +259,7 @@ def read_packed(segments: DataFrame) -> DataFrame:
     spark = segments.sparkSession
     totals = sorted((r.shard, r.n) for r in segments.groupBy("shard").agg(F.sum("n_ids").alias("n")).collect())  # a row a file
     bases = accumulate([n for _, n in totals], initial=0)
-    base = spark.createDataFrame([(shard, b) for (shard, _), b in zip(totals, bases)], "b_shard int, base long")
+    base = local_table(spark, ("b_shard", "base"), [(shard, b) for (shard, _), b in zip(totals, bases)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
