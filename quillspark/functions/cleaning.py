@@ -7,6 +7,7 @@ the scan and no row leaves the JVM. Patterns are written for Java's engine:
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from html.entities import name2codepoint
 
@@ -184,7 +185,10 @@ TYPOGRAPHY = (
 
 
 def fix_typography(text: Column) -> Column:
-    return reduce(lambda c, rule: sub(c, rule[1], rule[2]), TYPOGRAPHY, text)
+    """The rules in order; the first one, which looks behind at every blank, only where capitals stand apart."""
+    (_, pattern, by), *others = TYPOGRAPHY
+    apart = text.rlike(rf"{_CAPITAL}[ ]+{_CAPITAL}\s|{_CAPITAL}\s+{_CAPITAL}[ ]+{_CAPITAL}")
+    return reduce(lambda c, rule: sub(c, rule[1], rule[2]), others, F.when(apart, sub(text, pattern, by)).otherwise(text))
 
 
 # ---- step 5: structure ----
@@ -247,13 +251,38 @@ def fix_structure(text: Column) -> Column:
 # ---- step 6: casing ----
 
 
+def _titles() -> dict[str, str]:
+    """Titles as they are written in capitals, without accents and with single spaces, and their plain form."""
+    plain = {}
+    for pattern, title in rules.TITLES:
+        written = re.sub(r"\[(.)(.)\]", r"\2", pattern).replace(r"\s+", " ")
+        for form in {written.replace("?", ""), re.sub(".[?]", "", written)}:
+            plain.setdefault(form, title)
+    return plain
+
+
 def lower_titles(text: Column) -> Column:
-    """Titles in capitals to lower case, or to an initial capital at the start of a sentence."""
-    for pattern, plain in rules.TITLES:
-        initial = plain[0].upper() + plain[1:]
-        text = sub(text, rf"(?Ud)(^|[\n.!—])([ \t\u00a0\u202f]*)\b{pattern}\b", f"$1$2{initial}")
-        text = sub(text, rf"(?U)\b{pattern}\b", plain)
-    return text
+    """Titles in capitals to lower case, or to an initial capital at the start of a sentence.
+
+    One pass puts marks around titles; each is then looked up with what stands before it.
+    """
+    mark, end, blank = "\u0001", "\u0002", "[ \\t\u00a0\u202f]*"
+    pattern = rf"(?U)\b(?:{'|'.join(p for p, _ in rules.TITLES)})\b"
+    pieces = F.split(sub(text, f"({pattern})", f"{mark}$1{end}"), mark, -1)
+    before = F.concat(F.array(F.lit("")), F.slice(pieces, F.lit(1), F.size(pieces) - 1))
+    plain = F.create_map(*(F.lit(x) for pair in _titles().items() for x in pair))
+
+    def one(pair: Column, at: Column) -> Column:
+        piece, previous = pair["piece"], pair["before"]
+        title = F.substring_index(piece, end, 1)
+        small = F.try_element_at(plain, F.translate(sub(title, r"(?U)\s+", " "), "ÉÈ", "EE"))
+        gap = F.when(at == 1, previous).otherwise(F.substring_index(previous, end, -1))
+        opens = gap.rlike(rf"[\n.!—]{blank}\z") | ((at == 1) & gap.rlike(rf"^{blank}\z"))
+        shown = F.when(opens, F.concat(F.upper(F.substring(small, 1, 1)), F.substring(small, 2, 1 << 30))).otherwise(small)
+        return F.when(at == 0, piece).otherwise(F.concat(shown, F.substring(piece, F.length(title) + 2, F.length(piece))))
+
+    both = F.arrays_zip(pieces.alias("piece"), before.alias("before"))
+    return F.when(text.rlike(pattern), F.array_join(F.transform(both, one), "")).otherwise(text)
 
 
 def is_title_line(line: Column) -> Column:
