@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir), works on all rows of docs and returns a
 DataFrame; its result is written as Parquet and read again as the next one's
 docs. All but the last return the columns of documents.
+
+Edge cases, alike in every stage: an empty table gives an empty one; rows that
+repeat are rows of their own until the near-copies stage, which keeps one of
+them; a null id stays null and comes last where ids decide; columns other than
+those of documents are left behind. A null text has no words, so the quality
+rules reject it; in a later stage it has no lines to drop, is a copy of other
+texts without words, takes no room in the mix and stays once, and encodes to no
+ids. A null source is a source of its own. Texts are worked on whole, however long.
 """
 
 from __future__ import annotations
