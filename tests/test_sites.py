@@ -240,3 +240,19 @@ def test_boxes_through_a_recognizer(spark, tmp_path):
     assert [r.text for r in lines.lines_of_boxes(found, "page").collect()] == ["a b"]
     with pytest.raises(RuntimeError):
         pdf.boxes(pdf.pdf_files(spark, str(tmp_path)), None)
+
+
+def test_streams_forget_behind_the_watermark_and_stop(spark, tmp_path):
+    import datetime
+
+    from quillspark.streaming import files as streams
+
+    at = lambda hour: datetime.datetime(2024, 1, 1, hour)
+    rows = [("a", at(1)), ("a", at(1)), ("b", at(2))]
+    spark.createDataFrame(rows, "url string, t timestamp").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("url string, t timestamp").parquet(str(tmp_path / "in"))
+    streams.run_to_end(streams.new_urls(stream, "t"), str(tmp_path / "out"), str(tmp_path / "c"))
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+    running = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c2")).start()
+    streams.stop(running)
+    assert not running.isActive
