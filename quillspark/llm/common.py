@@ -20,6 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes of the slices in which Arrow batches are worked on; they keep Python workers small.
 BATCH_ROWS = 2048
 BATCH_BYTES = 8 << 20
+#: Numbers of so many files are sent to all tasks.
+MOST_FILES = 200_000
 #: A key with more than one in so many rows is hot: fewer than that many keys can be. Its rows go to LANES tasks.
 HOT_SHARE, LEAST_HOT, LANES = 1000, 100, 64
 
@@ -142,18 +144,22 @@ def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
 
     A row of a file has the file's number, by path, and its place in the file:
     these stay the same however a scan is split, so a table can be read again
-    by executors that came later. The files' paths sent along are a row a file.
+    by executors that came later. The files' paths are sent to all tasks where they
+    are MOST_FILES at most, and joined beyond.
     Other tables are settled with their numbers first.
     """
     if not _is_scan(df):
         return settle(df.withColumn(name, F.monotonically_increasing_id()))
     path, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     paths = settle(df.select(path.alias("__path")).distinct())
-    if paths.count() < 2:
+    n_files = paths.count()
+    if n_files < 2:
         return df.withColumn(name, at)
     number = F.row_number().over(Window.orderBy("__path")) - 1  # a row a file
     numbers = settle(paths.select("__path", number.cast("long").alias("__file")))
-    keyed = df.select("*", path.alias("__of"), at.alias(name)).join(F.broadcast(numbers), F.col("__of") == F.col("__path"))
+    if n_files <= MOST_FILES:
+        numbers = F.broadcast(numbers)
+    keyed = df.select("*", path.alias("__of"), at.alias(name)).join(numbers, F.col("__of") == F.col("__path"))
     return keyed.select(*df.columns, F.shiftleft("__file", 40).bitwiseOR(F.col(name)).alias(name))
 
 
