@@ -10,6 +10,7 @@ from quillspark.operators import acts as act_ops
 from quillspark.operators import lines
 from quillspark.plans import inputs
 from quillspark.plans.base import S, query, replaced
+from quillspark.plans.registry import SECTION_LINES
 
 _ODD = ["nÂ ° Â fin � l’un “b”", "a​b €c \n\n\n\n\nd", "rien\r\nde plus", "café \x07 x"]
 
@@ -97,16 +98,14 @@ def _controls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.noisy(spark, sf_dir, _CONTROL).select("doc_id", F.md5(cleaning.drop_controls(F.col("t"))).alias("cleaned_md5"))
 
 
-@query("structure_corrections")
-def _structure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = audits.structure_corrections(inputs.acts(spark, sf_dir), "act")
-    return found.select("doc_id", F.explode("corrections").alias("c")).select("doc_id", "c.*")
-
-
-@query("section_missing")
+@query("section_missing", f"""
+WITH RECURSIVE {SECTION_LINES}
+SELECT doc_id, CAST(count(*) AS INT) AS n_sections, array_to_string(list_filter(['VISAS', 'DISPOSITIF', 'ARTICLES', 'SIGNATURE'], lambda x: NOT list_contains(list(label), x)), ' ') AS missing
+FROM sections GROUP BY doc_id
+""")
 def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.acts(spark, sf_dir).select("doc_id", act_ops.sections(F.col("act")).alias("s"))
-    return rows.select("doc_id", F.size("s").alias("n_sections"), act_ops.missing_labels(F.col("s")).alias("missing"))
+    return rows.select("doc_id", F.size("s").alias("n_sections"), F.array_join(act_ops.missing_labels(F.col("s")), " ").alias("missing"))
 
 
 @query("diff_json")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions import cleaning, extract, rules, web
+from quillspark.functions import audits, cleaning, extract, rules, web
 from quillspark.operators import acts as act_ops
 from quillspark.operators import archive, lines, search, steps
 from quillspark.plans import inputs
@@ -189,18 +189,54 @@ def _char_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- acts ----
 
 
-@query("section_labels")
+def _flag(pattern: str) -> str:
+    return f"regexp_matches(line, '{pattern}')"
+
+
+#: The sections by a recursion from line to line: ``before`` is the label that a line finds, ``label`` the one it gives.
+SECTION_LINES = f"""
+l AS MATERIALIZED (
+  SELECT doc_id, pos, line, {_flag(rf"(?i)^{S}*(?:SOMMAIRE|VU|ARTICLE|CONSID|ARR[ÊEê]T[ÉEé])")} AS body, {_flag(rf"(?i)^{S}*SOMMAIRE(?:$|{NL})")} AS summary,
+         {_flag(rf"(?i)^{S}*ARR[ÊEê]T[ÉEé](?:$|{NL})")} AS act, {_flag(rf"^{S}*(?:VU|Vu|vu)(?:$|{NL})")} AS visa, {_flag(rf"(?i)^{S}*(?:CONSID[ÉEé]RANT|ATTENDU)")} AS recital,
+         {_flag(rf"(?i)^{S}*D[ÉEé]CIDE{S}*$")} AS decided, {_flag(rf"(?i)^{S}*ARTICLE{S}+[0-9]+")} AS article,
+         {_flag(rf"(?i)(?:^|{NL})(?:SIGN[ÉEé]|SIGNÉE)(?:$|{NL})")} AS signed, {_flag(rf"(?i)^{S}*ANNEXE")} AS annex
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM (SELECT doc_id, string_split(act, chr(10)) AS ls FROM ({inputs.acts_sql()})))
+), f AS (
+  SELECT *, max(body) OVER w AS covered, coalesce(max(summary) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS listed
+  FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), s AS (
+  SELECT doc_id, CAST(-1 AS BIGINT) AS pos, 'ENTETE' AS before, 'ENTETE' AS label, false AS cut FROM documents
+  UNION ALL
+  SELECT doc_id, pos, before, label, pos > 0 AND (label <> before OR summary AND NOT listed OR act AND NOT listed OR NOT act AND (label = 'DISPOSITIF' AND decided OR label = 'SIGNATURE' AND signed OR label = 'ANNEXES' AND annex)) AS cut
+  FROM (
+    SELECT *, CASE WHEN summary AND NOT listed THEN 'SOMMAIRE' WHEN act AND listed THEN before WHEN act THEN 'ARRETE_TITRE' WHEN visa THEN 'VISAS' WHEN recital THEN 'CONSIDERANTS'
+                   WHEN decided THEN 'DISPOSITIF' WHEN before = 'ARTICLES' OR article THEN 'ARTICLES' WHEN signed THEN 'SIGNATURE' WHEN annex THEN 'ANNEXES' ELSE before END AS label
+    FROM (SELECT f.*, CASE WHEN f.covered THEN s.label ELSE 'ENTETE_GLOBAL' END AS before FROM s JOIN f ON f.doc_id = s.doc_id AND f.pos = s.pos + 1)
+  )
+), n AS (
+  SELECT s.doc_id, s.pos, line, s.before, s.label, sum(CAST(cut AS INT)) OVER (PARTITION BY s.doc_id ORDER BY s.pos) AS k, lead(cut) OVER (PARTITION BY s.doc_id ORDER BY s.pos) AS last,
+         lead(s.before) OVER (PARTITION BY s.doc_id ORDER BY s.pos) AS after
+  FROM s JOIN l ON l.doc_id = s.doc_id AND l.pos = s.pos
+), sections AS (
+  SELECT doc_id, CAST(k AS INT) AS k, arg_max(CASE WHEN last THEN after ELSE label END, pos) AS label, {_r("string_agg(line, chr(10) ORDER BY pos)", (rf"^{S}+|{S}+$", ""))} AS content FROM n GROUP BY doc_id, k
+)"""
+
+
+@query("section_labels", f"WITH RECURSIVE {SECTION_LINES} SELECT doc_id, k AS \"at\", label, md5(content) AS content_md5 FROM sections")
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.acts(spark, sf_dir).select("doc_id", F.posexplode_outer(act_ops.sections(F.col("act"))).alias("at", "s"))
     return rows.select("doc_id", "at", "s.label", F.md5("s.content").alias("content_md5"))
 
 
-@query("section_counts")
+@query("section_counts", f"WITH RECURSIVE {SECTION_LINES} SELECT label, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM sections GROUP BY label")
 def _section_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sections(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
 
 
-@query("section_marks")
+@query("section_marks", f"""
+WITH RECURSIVE {SECTION_LINES}
+SELECT doc_id, coalesce(string_agg(chr(10) || '=== ' || label || ' ===' || chr(10) || content, chr(10) ORDER BY k) FILTER (content <> ''), '') AS marked FROM sections GROUP BY doc_id
+""")
 def _marks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.acts(spark, sf_dir).select("doc_id", act_ops.with_section_marks(F.col("act")).alias("marked"))
 
@@ -629,6 +665,19 @@ def _origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.links(spark, sf_dir).select("page_id", F.col("pos").cast("long").alias("pos"), same.alias("same_origin"))
 
 
+_HEADING = rf"(?mi)^{S}*(?:ARTICLE|ART\.?{S}*){S}*(?:{'|'.join(w.replace('è', '[èÈ]') for w in sorted(rules.ORDINALS, key=len, reverse=True))}|0*\d+{S}*(?:er|[eèÈ]re|[eèÈ]me|e)?|UNIQUE){S}*[:.—–-]?{S}*"
+
+
+@query("structure_corrections", f"""
+WITH a AS (SELECT doc_id, {_sql_unpaged('act')} AS start FROM ({inputs.acts_sql()})), b AS (SELECT *, {_sql_act_words('start')} AS titled FROM a), c AS (SELECT *, {_sql_articles('titled')} AS numbered FROM b)
+SELECT doc_id, 'structure_title' AS type, CAST(1 AS INT) AS count FROM c WHERE start <> titled
+UNION ALL SELECT doc_id, 'structure_articles', CAST(len(regexp_extract_all(titled, '{_HEADING}')) AS INT) FROM c WHERE start <> numbered
+""")
+def _structure_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = audits.structure_corrections(inputs.acts(spark, sf_dir), "act")
+    return found.select("doc_id", F.explode("corrections").alias("c")).select("doc_id", "c.*")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to acts to fields: cleaned, split, extracted, anonymised, dated."""
     acts = act_ops.split_acts(steps.cleaned(inputs.acts(spark, sf_dir), "act"), "doc_id", "act")
@@ -650,4 +699,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-from quillspark.plans import audits, sites  # noqa: E402, F401  they add their queries
+from quillspark.plans import corrections, sites  # noqa: E402, F401  they add their queries
