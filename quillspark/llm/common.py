@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -98,6 +99,14 @@ def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
+def give_back() -> None:
+    """Return what a worker has freed to the system, where its allocators can be asked to."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[None]:
     """Arrow batches of so many rows and bytes at most for jobs that run inside; the session's own bounds come back after."""

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.chunks import PieceMemory
-from quillspark.llm.common import arrow_batches, bounded, local_table, settle, table, with_row_key
+from quillspark.llm.common import arrow_batches, bounded, give_back, local_table, settle, table, with_row_key
 
 MAGIC, BLOCK_IDS, SEGMENT_IDS = b"QIDS", 4096, 1 << 20
 #: Words of a generation that an encoder remembers: what a table of 2**19 places holds before it grows.
@@ -46,6 +46,7 @@ MOST_WORDS = 340_000
 #: Bytes of input that a shard takes; small inputs have more shards than that, for all cores to work.
 SHARD_BYTES = 128 << 20
 _HEAD = struct.Struct("<4sIQII")
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 
 def width_of(vocabulary: int) -> int:
@@ -56,6 +57,10 @@ def width_of(vocabulary: int) -> int:
 def pack(ids: np.ndarray, width: int) -> np.ndarray:
     """Words of 64 bits holding the ids; the last group of 64 is filled up with zeros."""
     groups = -(-len(ids) // 64)
+    if width in _WHOLE:  # whole bytes: the ids themselves, one behind the other
+        whole = np.zeros(64 * groups, _WHOLE[width])
+        whole[: len(ids)] = ids
+        return whole.view("<u8")
     padded = np.zeros((groups, 64), np.uint64)
     padded.ravel()[: len(ids)] = ids
     words = np.zeros((groups, width), np.uint64)
@@ -69,6 +74,8 @@ def pack(ids: np.ndarray, width: int) -> np.ndarray:
 
 def unpack(words: np.ndarray, width: int) -> np.ndarray:
     """All ids of whole groups of 64."""
+    if width in _WHOLE:
+        return words.astype("<u8", copy=False).view(_WHOLE[width]).astype(np.uint32)
     words = words.reshape(-1, width)
     ids = np.empty((len(words), 64), np.uint32)
     mask = np.uint64((1 << width) - 1)
@@ -137,14 +144,15 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: Strings that the library looks for before it splits a text; a text with one goes to it whole.
-        self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        #: Strings that the library looks for before it splits a text; a text with one goes to it whole, as one with odd spaces does.
+        self.odd = "|".join([_ODD, *(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())])
         self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.letters: dict[int, str] = {}
         if self.tokenizer.normalizer is None and cut is not None:  # else pre-tokens are not what they seem
             for c in filter(str.isalpha, map(chr, range(ord(_LAST_LETTER) + 1))):
                 self.letters[ord(c)] = cut.pre_tokenize_str(c)[0][0]
             self.space = cut.pre_tokenize_str(" a")[0][0][:-1]
+        self.plain_ascii = all(self.letters.get(c) == chr(c) for c in range(128) if chr(c).isalpha())
         self.tails = {tail: [t.id for t in self.model.tokenize(tail)] for tail in _TAILS} if self.letters else {}
         self.plain = PieceMemory(lambda word: self.encode(word, ""), MOST_WORDS)
         self.spaced = PieceMemory(lambda word: self.encode(word, " "), MOST_WORDS)
@@ -154,7 +162,10 @@ class LibraryEncoder:
         tail = self.tails.get(word[-1:])
         core = word if tail is None else word[:-1]
         if self.letters and core.isalpha():
-            token = core.translate(self.letters) if core.isascii() or max(core) <= _LAST_LETTER else None
+            if self.plain_ascii and core.isascii():
+                token = core
+            else:
+                token = core.translate(self.letters) if max(core) <= _LAST_LETTER else None
             if token is not None:
                 ids = [t.id for t in self.model.tokenize(self.space + token if before else token)]
                 return array("I", ids + tail if tail else ids).tobytes()
@@ -163,9 +174,7 @@ class LibraryEncoder:
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a column; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
-        if self.added:
-            odd = odd | pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         out: list = [None] * len(texts)
         for k in np.flatnonzero(odd).tolist():
             out[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, np.uint32)
@@ -178,7 +187,7 @@ class LibraryEncoder:
 
     def _joined(self, words: pa.Array) -> list[np.ndarray]:
         coded = words.flatten().dictionary_encode()
-        code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         begins = words.offsets.to_numpy().astype(np.int64)
         begins = begins - begins[0]
         breaks = code == (names.index("\n") if "\n" in names else -1)
@@ -242,6 +251,7 @@ def packed_segments(
                 ids = np.append(ids, np.uint32(end_id))
                 if held and n + len(ids) > SEGMENT_IDS:
                     yield segment()
+                    give_back()
                     before, names, held, n = before + n, [], [], 0
                 names.append(doc_id)
                 held.append(ids)
@@ -286,7 +296,7 @@ def write_library_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     shards = max(-(-size // SHARD_BYTES), 4 * docs.sparkSession.sparkContext.defaultParallelism)
     width = width_of(vocabulary_size(path))
-    with arrow_batches(docs.sparkSession):
+    with arrow_batches(docs.sparkSession, size=4 << 20):
         return settle(packed_segments(docs, lambda: library_encoder(path).batch, width, end_id, shards))
 
 
