@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,29 @@ def test_op2_query_equals_brute_force(spark, tmp_path):
     assert sum(not got[i].kept for i in range(7, 157)) >= 15
 
 
+def test_every_labelled_row_is_in_every_tree_and_in_the_threshold(stored):
+    random.seed(34)
+    word = lambda: "".join(random.choices("abcdefg", k=5))
+    texts = [" ".join(word() + "%" * random.choice([0, 0, 0, 1, 3 * (i % 9 == 0)]) for _ in range(20)) for i in range(700)]
+    labels = [(i, int(i % 9 != 0), 0) for i in range(600)]
+    docs = stored([(i, t, "s", 1, "") for i, t in enumerate(texts)], "doc_id long, text string, source string, size int, row string")
+    forest = quality.fit_forest(docs, stored(labels, LABELS))
+    x = np.array([quality.statistics(t)[1] for t in texts[:600]])
+    for tree in range(0, len(forest.feature), 16):
+        ends = Counter()
+        for ratios in x:
+            node = level = 0
+            while forest.feature[tree, node] >= 0:
+                node = forest.child[tree, node] + int(ratios[forest.used[forest.feature[tree, node]]] > forest.value[tree, node])
+                level += 1
+            ends[node, level] += 1
+        for (node, level), n in ends.items():  # all 600 rows, not some of them, make the length of a path
+            assert forest.value[tree, node] == pytest.approx(level + (float(quality._mean_path(n)) if n > 1 else 0))
+    scores, good = forest.score(x), np.array([q == 1 for _, q, _ in labels])
+    cost = lambda t: quality.REJECTION_COST * int((good & (scores >= t)).sum()) + int((~good & (scores < t)).sum())
+    assert cost(forest.threshold) == min(cost(k / quality.STEPS) for k in range(quality.STEPS + 1))
+
+
 def test_operators_leave_the_session_alone(spark, stored):
     keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
     before = [spark.conf.get(k, None) for k in keys]
