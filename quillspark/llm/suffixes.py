@@ -11,9 +11,10 @@ the strings are dealt out by content first, without missing any:
 2. An anchor that occurs once rules its strings out. Where the same fragment
    occurs twice or more, all its strings repeat.
 3. What is left are different fragments with an anchor in common: the edges of
-   copied passages. They are gathered to shards by anchor. Each shard gets a
-   suffix array by Larsson-Sadakane refinement and its common prefixes by Kasai's
-   method; runs of suffixes with LENGTH bytes in common are strings that repeat.
+   copied passages. They are gathered to shards by anchor. Within a shard, some
+   anchors at a time get a suffix array by Larsson-Sadakane refinement and its
+   common prefixes by Kasai's method; runs of suffixes with LENGTH bytes in common
+   are strings that repeat.
 4. An anchor with very many fragments is split over several shards. Each hands
    on its distinct strings as one sorted run of 128-bit keys, cut in ranges, with
    the places that it could not decide; for each range the runs are merged and
@@ -43,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import discard, join_counted, map_batches, release, settle, table, with_row_key
+from quillspark.llm.common import discard, give_back, join_counted, map_batches, release, settle, table, with_row_key
 
 LENGTH, ANCHOR = 200, 56
 SPAN = LENGTH - ANCHOR + 1
@@ -51,6 +52,8 @@ _PLACE_BITS = 20
 _BLOCK = (1 << _PLACE_BITS) - LENGTH
 #: Fragments with one anchor in one shard, and bytes of fragments a shard should hold.
 MOST_FRAGMENTS, SHARD_BYTES = 2048, 2 << 20
+#: Bytes of fragments that are sorted at once, and those of one more anchor at most.
+SORTED_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20)
 _LETTERS = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -205,6 +208,21 @@ def repeated_strings(parts: list[bytes]) -> list[np.ndarray]:
     return [np.flatnonzero(again[s : e - LENGTH + 1]) for s, e in zip(starts, ends)]
 
 
+def repeated_by_anchor(parts: list[bytes], anchors: np.ndarray, most: int = SORTED_BYTES) -> list[np.ndarray]:
+    """``repeated_strings``, some anchors at a time: equal strings have equal anchors, so others need not be sorted along."""
+    order = np.argsort(anchors, kind="stable")
+    sizes, sorted_ = np.array([len(parts[i]) for i in order]), anchors[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))  # of each anchor
+    before = (np.cumsum(sizes) - sizes)[first] // most
+    starts = first[np.concatenate([[True], before[1:] != before[:-1]])].tolist()
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(parts)
+    for a, b in zip(starts, [*starts[1:], len(parts)]):
+        members = order[a:b].tolist()
+        for i, places in zip(members, repeated_strings([parts[i] for i in members])):
+            found[i] = places
+    return found
+
+
 def _ranges(places: np.ndarray) -> list[tuple[int, int]]:
     """Bytes covered by strings that begin at the places, as maximal ranges."""
     if not len(places):
@@ -261,7 +279,7 @@ def _run_of(frame: pd.DataFrame, found: list[np.ndarray], lanes: int) -> list[tu
 
 def _search_shard(frame: pd.DataFrame) -> pd.DataFrame:
     """Ranges that repeat within a shard, of fragments that occur once; runs of the strings of split anchors."""
-    found = repeated_strings(frame["bytes"].tolist())
+    found = repeated_by_anchor(frame["bytes"].tolist(), frame["anchor"].to_numpy())
     rows: list[tuple] = []
     for row, begin, n, places in zip(frame["row"], frame["begin"], frame["n"], found):
         if n == 1:
@@ -271,6 +289,7 @@ def _search_shard(frame: pd.DataFrame) -> pd.DataFrame:
         known = [found[i] for i in part.index]
         for lane, keys, places in _run_of(part, known, int(part["lanes"].iloc[0])):
             rows.append((None, None, None, anchor, lane, keys, places))
+    give_back()
     return pd.DataFrame(rows, columns=_SEARCHED).astype({c: "Int64" for c in _SEARCHED[:5]})
 
 

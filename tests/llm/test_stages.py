@@ -2,14 +2,16 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillspark.llm import common, mixing, packed_ids, piece_bpe, quality, registry, secrets, simhash
+from quillspark.llm import common, mixing, packed_ids, piece_bpe, quality, registry, secrets, simhash, suffixes
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 DOCS = "doc_id long, text string, source string, size int, row string"
@@ -199,3 +201,24 @@ def test_joins_with_hot_keys(spark):
     kept = common.join_counted(rows, counted, ["k"], ["v"], F.col("big"))
     assert kept.select("k").distinct().collect() == [(7,)] and kept.count() == 13_333
     assert common.join_counted(rows, counted, ["k"], ["v"], ~F.col("big")).count() == 6_667
+
+
+def test_a_shard_is_searched_in_little_memory():
+    rng = np.random.default_rng(8)
+    parts, anchors = [], []
+    for anchor in range(2500):
+        core = rng.integers(0, 256, 230, np.uint8).tobytes()
+        parts += [core[:220] + b"left", b"right" + core, rng.integers(0, 256, 210, np.uint8).tobytes()]
+        anchors += [anchor * 7919 % 2500] * 3
+    dealt = rng.permutation(len(parts)).tolist()
+    parts, anchors = [parts[i] for i in dealt], np.array(anchors)[dealt]
+    rows = np.arange(len(parts))
+    frame = pd.DataFrame({"row": rows, "begin": 0, "anchor": anchors, "n": 1, "lanes": 1, "bytes": parts})
+    tracemalloc.start()
+    got = suffixes._search_shard(frame)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6  # all sorted at once took 157 MB
+    want = [(i, a, b) for i, places in zip(rows.tolist(), suffixes.repeated_strings(parts)) for a, b in suffixes._ranges(places)]
+    assert len(want) == 5000
+    assert list(zip(got["row"], got["begin"], got["end"])) == want
