@@ -172,13 +172,14 @@ def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
     return keyed.select(*df.columns, F.shiftleft("__file", 40).bitwiseOR(F.col(name)).alias(name))
 
 
-def join_counted(left: DataFrame, counted: DataFrame, keys: list[str], spread: list[str], wanted: Column | None = None) -> DataFrame:
+def join_counted(left: DataFrame, counted: DataFrame, keys: list[str], spread: list[str], wanted: Column | None = None, alike: bool = False) -> DataFrame:
     """Inner join with a settled table of distinct keys, its column n being the rows that ``left`` has of each.
 
     Rows of a hot key are dealt over LANES tasks by the columns ``spread``, and
     the key's row of ``counted`` goes to each. Hot keys are fewer than HOT_SHARE,
     as each has more than that share of the rows, so they can be sent to all.
     Keys for which ``wanted`` does not hold are left out, hot ones before any row moves.
+    ``alike`` joins by merging whatever the sizes.
     """
     wanted = F.lit(True) if wanted is None else wanted
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head().n
@@ -189,4 +190,5 @@ def join_counted(left: DataFrame, counted: DataFrame, keys: list[str], spread: l
     dealt = left.join(F.broadcast(hot), same, "left").where(F.coalesce("__wanted", F.lit(True)))
     lanes = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(LANES - 1))).otherwise(F.array(F.lit(0)))
     every = counted.where(wanted).select(*(c for c in counted.columns if c != "n"), F.explode(lanes).alias("__lane"))
+    every = every.hint("merge") if alike else every
     return dealt.select(*left.columns, lane.alias("__lane")).join(every, [*keys, "__lane"]).drop("__lane")

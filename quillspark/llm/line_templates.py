@@ -74,7 +74,7 @@ def live_occurrences(occurrences: DataFrame, needed: Column) -> DataFrame:
     pairs = occurrences.groupBy("leaf", "own", F.col("place.body").alias("body")).agg(F.count("*").alias("n"), F.min("tokens").alias("tokens"))
     leaves = pairs.groupBy("leaf").agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.min("tokens").alias("tokens"))
     leaves = settle(leaves.select("leaf", "n", "texts", (F.col("texts") >= needed).alias("live")))
-    live = settle(join_counted(occurrences, leaves, ["leaf"], ["row", "place"], F.col("live")).drop("live"))
+    live = settle(join_counted(occurrences, leaves, ["leaf"], ["row", "place"], F.col("live"), alike=True).drop("live"))
     discard(leaves)
     return live
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillspark.llm import common, mixing, packed_ids, piece_bpe, quality, registry, secrets, simhash, suffixes
+from quillspark.llm import common, line_templates, mixing, packed_ids, piece_bpe, quality, registry, secrets, simhash, suffixes
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 DOCS = "doc_id long, text string, source string, size int, row string"
@@ -222,3 +222,14 @@ def test_a_shard_is_searched_in_little_memory():
     want = [(i, a, b) for i, places in zip(rows.tolist(), suffixes.repeated_strings(parts)) for a, b in suffixes._ranges(places)]
     assert len(want) == 5000
     assert list(zip(got["row"], got["begin"], got["end"])) == want
+
+
+def test_lines_join_their_leaves_alike_at_every_size(stored, monkeypatch):
+    rows = [(i, f"the same old line {i % 2}\nanother text of number{i} and word {'abc'[i % 3]}", "s", 1, "") for i in range(30)]
+    keyed = stored(rows, DOCS).select(F.col("doc_id").alias("row"), "doc_id", "text")
+    occurrences = common.settle(line_templates.line_occurrences(keyed))
+    plans, settle = [], line_templates.settle
+    monkeypatch.setattr(line_templates, "settle", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or settle(df))
+    live = line_templates.live_occurrences(occurrences, line_templates._needed(3, None))
+    assert live.count() == 60
+    assert "SortMergeJoin [leaf" in plans[-1]  # a broadcast one, at small sizes, moves no lines
