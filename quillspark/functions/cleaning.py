@@ -11,7 +11,6 @@ import re
 from functools import reduce
 from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,13 +81,9 @@ def drop_controls(text: Column) -> Column:
     return sub(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
 
 
-def _nfc(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFC")
-
-
 def composed(text: Column) -> Column:
-    """Canonical composition; Spark has no form of its own, so texts go through Arrow where they hold anything beyond Latin letters."""
-    made = F.pandas_udf(_nfc, "string")(text)
+    """Canonical composition, by the Unicode library that Spark brings for its collations, where texts hold anything beyond Latin letters."""
+    made = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
     return F.when(text.rlike("[^\\x00-\u02ff]"), made).otherwise(text)
 
 
