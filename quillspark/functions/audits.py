@@ -23,19 +23,20 @@ def encoding_corrections(rows: DataFrame, column: str) -> DataFrame:
     """
     before, after = F.col("before"), F.col("after")
     differ = cleaning.char_differences(before, after)
-    once = F.lit(1)
+    once, found = F.lit(1), F.col("found")
     steps = (
-        ("cleanup_artefacts", cleaning.drop_stray_a, differ, differ > 0),
-        ("corrupted_chars", lambda c: cleaning.straighten_quotes(F.replace(c, F.lit("�"), F.lit(""))), differ, differ > 0),
-        ("private_unicode", lambda c: cleaning.whitelist(cleaning.sub(c, "[-]", "")), differ, differ > 0),
+        ("cleanup_artefacts", cleaning.drop_stray_a, differ, found > 0),
+        ("corrupted_chars", lambda c: cleaning.straighten_quotes(F.replace(c, F.lit("�"), F.lit(""))), differ, found > 0),
+        ("private_unicode", lambda c: cleaning.whitelist(cleaning.sub(c, "[-]", "")), differ, found > 0),
         ("control_chars", cleaning.drop_controls, F.length(before) - F.length(after), before != after),
         ("line_endings", lambda c: cleaning.sub(c, r"\r\n?", "\n"), once, before != after),
         ("blank_lines", lambda c: cleaning.sub(c, r"\n{4,}", "\n\n\n"), once, before != after),
     )
     inner = rows.select(F.struct("*").alias("row"), F.col(column).alias("before"), F.array().cast(RECORDS).alias("made"))
     for kind, rule, count, fires in steps:
-        inner = inner.withColumn("after", rule(F.col("before")))
-        added = _record(kind, (before != after) & fires, count)
+        # Counts are columns of their own, lest they be made once for the test and once for the record.
+        inner = inner.withColumn("after", rule(F.col("before"))).withColumn("found", count)
+        added = _record(kind, (before != after) & fires, found)
         inner = inner.select("row", after.alias("before"), F.concat("made", added).alias("made"))
     return inner.select("row.*", F.col("made").alias("corrections"))
 

@@ -34,7 +34,8 @@ WITH t0 AS (SELECT doc_id, t AS a FROM ({inputs.noisy_sql(_ODD)})
 @query("encoding_corrections", _ENCODING_SQL + " SELECT doc_id, type, CAST(n AS INT) AS count FROM n WHERE n > 0")
 def _encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = audits.encoding_corrections(inputs.noisy(spark, sf_dir, _ODD), "t")
-    return found.select("doc_id", F.explode("corrections").alias("c")).select("doc_id", "c.*")
+    # explode() would put a filter below it that makes all corrections a second time.
+    return found.select("doc_id", F.explode_outer("corrections").alias("c")).where("c IS NOT NULL").select("doc_id", "c.*")
 
 
 @query("encoding_totals", _ENCODING_SQL + " SELECT doc_id, CAST(sum(n) AS INT) AS total_corrections, CAST(count(*) FILTER (n > 0) AS INT) AS categories FROM n GROUP BY doc_id")

@@ -675,7 +675,8 @@ UNION ALL SELECT doc_id, 'structure_articles', CAST(len(regexp_extract_all(title
 """)
 def _structure_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = audits.structure_corrections(inputs.acts(spark, sf_dir), "act")
-    return found.select("doc_id", F.explode("corrections").alias("c")).select("doc_id", "c.*")
+    # explode() would put a filter below it that makes all corrections a second time.
+    return found.select("doc_id", F.explode_outer("corrections").alias("c")).where("c IS NOT NULL").select("doc_id", "c.*")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

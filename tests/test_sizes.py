@@ -3,9 +3,25 @@
 from pyspark.sql import functions as F
 
 from quillspark.functions import cleaning
+from quillspark.plans import registry
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_composition_stays_out_of_python(spark):
     rows = spark.createDataFrame([("é x",), ("Ạ̊",), ("plain",), (None,)], "t string").select(cleaning.composed(F.col("t")).alias("t"))
     assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
     assert [r.t for r in rows.collect()] == ["é x", "Ạ̊", "plain", None]
+
+
+def test_corrections_are_made_once(spark):
+    for name in ("encoding_corrections", "structure_corrections"):
+        plan = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_replace" in line], name
+
+
+def test_characters_differ_in_place(spark):
+    pairs = [("", "", 0), ("", "ab", 2), ("abc", "abc", 0), ("abc", "bc", 3), ("a\U0001F600c", "a\U0001F600d", 1), (None, "a", None)]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(pairs)], "i int, a string, b string")
+    got = [r.n for r in rows.select("i", cleaning.char_differences(F.col("a"), F.col("b")).alias("n")).orderBy("i").collect()]
+    assert got[:5] == [n for *_, n in pairs[:5]]
