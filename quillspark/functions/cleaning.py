@@ -3,6 +3,9 @@
 Every rule is a built-in expression, so a whole pipeline is one projection over
 the scan and no row leaves the JVM. Patterns are written for Java's engine:
 (?U) for Unicode classes, (?d) for \\n as the only line end, (?u) with (?i).
+Patterns are tried at every character, and there Unicode classes, word bounds
+and classes of several ranges are dear; so patterns first look at something
+plain that most characters are not.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from quillspark.functions import rules
 NBSP, NNBSP, DASH, QUOTE = "\u00a0", "\u202f", "\u2014", "\u2019"
 OPEN, CLOSE = "\u00ab", "\u00bb"
 
+#: The characters of (?U)\\s.
+WHITE = "\t\n\x0b\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def sub(text: Column, pattern: str, by: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(by))
@@ -26,7 +32,7 @@ def sub(text: Column, pattern: str, by: str) -> Column:
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return sub(text, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 # ---- step 1: encoding ----
@@ -68,17 +74,18 @@ def decode_entities(text: Column) -> Column:
 
 def narrow(text: Column) -> Column:
     """Full-width letters, digits and marks as plain ones."""
-    return F.translate(text, "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000", "".join(map(chr, range(0x21, 0x7F))) + " ")
+    plain = F.translate(text, "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000", "".join(map(chr, range(0x21, 0x7F))) + " ")
+    return F.when(text.rlike("[\uff01-\uff5e\u3000]"), plain).otherwise(text)
 
 
 def plain_line_ends(text: Column) -> Column:
     """Every kind of line end as \\n."""
-    return sub(text, "\r\n?|[\u0085\u2028\u2029]", "\n")
+    return sub(text, r"[\r\x{85}\x{2028}\x{2029}](?:(?<=\r)\n)?", "\n")
 
 
 def drop_controls(text: Column) -> Column:
     """Control characters other than tabs and line ends; for texts that no whitelist has passed."""
-    return sub(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
+    return sub(text, r"(?![\x20-\x7E])[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
 
 
 def composed(text: Column) -> Column:
@@ -102,7 +109,8 @@ def drop_unreadable(text: Column) -> Column:
 
 def whitelist(text: Column) -> Column:
     """Printable ASCII, Latin letters, line breaks and tabs alone."""
-    return sub(text, "[^\\x20-\\x7E\u00a0-\u024f\u1e00-\u1eff\\n\\t]", "")
+    passed = "\\x20-\\x7E\u00a0-\u024f\u1e00-\u1eff\\n\\t"
+    return F.when(text.rlike(rf"\A[{passed}]*+\z"), text).otherwise(sub(text, rf"(?![\x20-\x7E])[^{passed}]++", ""))
 
 
 def unify_newlines(text: Column) -> Column:
@@ -129,10 +137,8 @@ def fix_unicode(text: Column) -> Column:
 
 def repair_articles(text: Column) -> Column:
     """I read for l in elided and plain articles."""
-    text = sub(text, r"(?U)\bI(?=['’][a-zà-ÿ])", "l")
-    for wrong in ("Ia", "Ie", "Ies"):
-        text = sub(text, rf"(?U)\b{wrong}\b", "l" + wrong[1:])
-    return text
+    text = sub(text, r"(?U)I(?<=\bI)(?=['’][a-zà-ÿ])", "l")
+    return sub(text, r"(?U)I(?<=\bI)(a|es?)\b", "l$1")
 
 
 def join_hyphenated(text: Column) -> Column:
@@ -160,21 +166,27 @@ def single_spaces(text: Column) -> Column:
 _CAPITAL = "[A-ZÀ-ÖØ-Ý]"
 _LETTER = "A-Za-zÀ-ſ"
 
+
+def _before(mark: str) -> str:
+    """Looks whether a character is followed by a mark or by what may be a blank."""
+    return rf"(?s)(?=.[\s{mark}\x{{80}}-\x{{ffff}}])"
+
+
 #: Ordered typographic rules: name, pattern, replacement.
 TYPOGRAPHY = (
-    ("spaced_capitals", rf"(?U)(?<=\b{_CAPITAL})[ ]+(?={_CAPITAL}\s+{_CAPITAL}\b)|(?<=\b{_CAPITAL}\s{{1,8}}{_CAPITAL})[ ]+(?={_CAPITAL}\b)", ""),
+    ("spaced_capitals", rf"(?U)(?=[ ])(?:(?<=\b{_CAPITAL})[ ]+(?={_CAPITAL}\s+{_CAPITAL}\b)|(?<=\b{_CAPITAL}\s{{1,8}}{_CAPITAL})[ ]+(?={_CAPITAL}\b))", ""),
     ("quotes", r'"([^"]*?)"', f"{OPEN}{NBSP}$1{NBSP}{CLOSE}"),
     ("open_quote", rf"(?U){OPEN}\s*(\S)", f"{OPEN}{NBSP}$1"),
-    ("close_quote", rf"(?U)(\S)\s*+{CLOSE}", f"$1{NBSP}{CLOSE}"),
-    ("high_marks", r"(?U)(\S)\s*+([;?!])", f"$1{NNBSP}$2"),
-    ("colon", rf"(?Ud)(\S)\s*+:(?=[\s{OPEN}]|\n?\z)", f"$1{NBSP}:"),
+    ("close_quote", rf"{_before(CLOSE)}(?U)(\S)\s*+{CLOSE}", f"$1{NBSP}{CLOSE}"),
+    ("high_marks", rf"{_before(';?!')}(?U)(\S)\s*+([;?!])", f"$1{NNBSP}$2"),
+    ("colon", rf"{_before(':')}(?Ud)(\S)\s*+:(?=[\s{OPEN}]|\n?\z)", f"$1{NBSP}:"),
     ("space_after", rf"([.,;:!?])(?=[{_LETTER}{OPEN}])", "$1 "),
-    ("dashes", r"(?U)(?:(?<!\s)\s++)?---?\s*+", f" {DASH} "),
+    ("dashes", r"(?U)(?=-|[^!-~])(?:(?<!\s)\s++)?---?\s*+", f" {DASH} "),
     ("apostrophes", rf"([{_LETTER}])'([{_LETTER}])", f"$1{QUOTE}$2"),
     ("leaders", r"\.{4,}", "..."),
-    ("code_articles", r"(?U)\b([LRDA])\.(?=\d)", "$1. "),
+    ("code_articles", r"(?U)([LRDA])(?<=\b.)\.(?=\d)", "$1. "),
     ("numbers", r"(?U)([nN])°\s*(\d)", f"$1°{NBSP}$2"),
-    ("space_before", r"(?U)(?<!\s)\s++([.,])", "$1"),
+    ("space_before", r"(?U)(?=[^!-~])(?<!\s)\s++([.,])", "$1"),
     ("double_spaces", r"[ ]{2,}", " "),
 )
 
@@ -195,7 +207,7 @@ PAGE_LINE = (
 
 
 def strip_page_numbers(text: Column) -> Column:
-    text = sub(sub(text, PAGE_LINE, ""), r"(?U)\b[Pp]age\s*\d+\b", "")
+    text = sub(sub(text, PAGE_LINE, ""), r"(?U)[Pp](?<=\b.)age\s*\d+\b", "")
     text = sub(text, r"(?Umd)^=+\s*=+$", "")
     return strip(sub(text, r"\n{3,}", "\n\n"))
 
@@ -262,7 +274,8 @@ def lower_titles(text: Column) -> Column:
     One pass puts marks around titles; each is then looked up with what stands before it.
     """
     mark, end, blank = "\u0001", "\u0002", "[ \\t\u00a0\u202f]*"
-    pattern = rf"(?U)\b(?:{'|'.join(p for p, _ in rules.TITLES)})\b"
+    first = "".join(sorted({p[0] for p, _ in rules.TITLES}))
+    pattern = rf"(?U)(?=[{first}])\b(?:{'|'.join(p for p, _ in rules.TITLES)})\b"
     pieces = F.split(sub(text, f"({pattern})", f"{mark}$1{end}"), mark, -1)
     before = F.concat(F.array(F.lit("")), F.slice(pieces, F.lit(1), F.size(pieces) - 1))
     plain = F.create_map(*(F.lit(x) for pair in _titles().items() for x in pair))
@@ -292,7 +305,7 @@ def lower_capitals(text: Column) -> Column:
     sentence when what stands before it is blank to the line's start or to a
     full stop, an exclamation mark or a dash.
     """
-    capital = r"(?U)\b[A-ZÀ-Ü]{3,}\b"
+    capital = r"(?U)(?=[A-ZÀ-Ü])\b[A-ZÀ-Ü]{3,}\b"
     piece = rf"{capital}|(?s)(?:(?!{capital}).)+"
     protected = sorted({*rules.ACRONYMS, *rules.ACT_WORDS})
 
@@ -343,5 +356,6 @@ def typography_audit(rows: DataFrame, column: str) -> DataFrame:
 
 def char_differences(a: Column, b: Column) -> Column:
     """Places at which two texts differ, the longer one's rest included."""
-    one, two = (F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0)) for t in (a, b))
-    return F.size(F.filter(F.zip_with(one, two, lambda p, q: ~p.eqNullSafe(q)), lambda differs: differs))
+    one, two = (F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, "")) for t in (a, b))
+    apart = F.size(F.filter(F.zip_with(one, two, lambda p, q: ~p.eqNullSafe(q)), lambda differs: differs))
+    return F.when(a == b, F.lit(0)).otherwise(apart)
