@@ -12,47 +12,50 @@ from quillspark.functions import extract
 from quillspark.functions.cleaning import strip, sub
 
 _ACT = r"(?iuU)^\s*(?:ARR[ÊE]T[ÉE]|ARRETE)\b"
+#: The end of a line before one that may mean something; too many of them do no harm.
+_STRETCH = r"(?iuU)\n(?=[^\S\n]*+(?:SOMM|VU|ARTICLE|CONSID|ARR|ATTENDU|D[ÉE]CID|ANNEX)|[^\n]*?SIGN)"
 #: How an act begins, at a line's start.
 HEADER = r"(?iumUd)^\s*ARR[ÊE]T[ÉE](?:\s+N[°º]?\s*\S+|\s+DU\s+\d|\s+PORTANT\b|\s+RELATIF\b|\s+FIXANT\b|\s*$)"
 
 
 def sections(text: Column) -> Column:
-    """array<struct<label, content>>: a fold over the lines, with the label so far as its state.
+    """array<struct<label, content>>: a fold over stretches of lines, with the label so far as its state.
 
+    A stretch is a line that may mean something and the plain ones below it.
     Until a line that opens a body (summary, visa, article, recital, act) every
     line relabels the section as the cover; after a summary an act's title no
     longer opens a section; within articles nothing but a visa, recital or act does.
     """
-    empty_lines = F.array().cast("array<string>")
+    empty = F.array().cast("array<string>")
     start = F.struct(
-        F.lit(False).alias("covered"), F.lit(False).alias("listed"), F.lit("ENTETE").alias("label"), empty_lines.alias("held"),
+        F.lit(False).alias("covered"), F.lit(False).alias("listed"), F.lit("ENTETE").alias("label"), empty.alias("held"),
         F.array().cast("array<struct<label:string,content:string>>").alias("done"),
     )
 
-    def step(state: Column, line: Column) -> Column:
-        body = line.rlike(r"(?iuU)^\s*(?:SOMMAIRE|VU|ARTICLE|CONSID|ARR[ÊE]T[ÉE])")
-        covered = state["covered"] | body
+    def step(state: Column, at: Column) -> Column:
+        covered = state["covered"] | at["body"]
         label = F.when(covered, state["label"]).otherwise("ENTETE_GLOBAL")
-        summary = ~state["listed"] & line.rlike(r"(?iuU)^\s*SOMMAIRE\b")
-        act = line.rlike(_ACT)
+        summary = ~state["listed"] & at["summary"]
         named = (
             F.when(summary, "SOMMAIRE")
-            .when(act & state["listed"], label)
-            .when(act, "ARRETE_TITRE")
-            .when(line.rlike(r"(?U)^\s*(?:VU|Vu|vu)\b"), "VISAS")
-            .when(line.rlike(r"(?iuU)^\s*(?:CONSID[ÉE]RANT|ATTENDU)"), "CONSIDERANTS")
-            .when(line.rlike(r"(?iuU)^\s*D[ÉE]CIDE\s*$"), "DISPOSITIF")
-            .when((label == "ARTICLES") | line.rlike(r"(?iuU)^\s*ARTICLE\s+\d+"), "ARTICLES")
-            .when(line.rlike(r"(?iuU)\b(?:SIGN[ÉE]|SIGNE|SIGNÉE)\b"), "SIGNATURE")
-            .when(line.rlike(r"(?iuU)^\s*ANNEXE"), "ANNEXES")
+            .when(at["act"] & state["listed"], label)
+            .when(at["act"], "ARRETE_TITRE")
+            .when(at["visa"], "VISAS")
+            .when(at["recital"], "CONSIDERANTS")
+            .when(at["decided"], "DISPOSITIF")
+            .when((label == "ARTICLES") | at["article"], "ARTICLES")
+            .when(at["signed"], "SIGNATURE")
+            .when(at["annex"], "ANNEXES")
             .otherwise(label)
         )
-        always = summary | (act & ~state["listed"]) | named.isin("DISPOSITIF", "SIGNATURE", "ANNEXES") & ~act & _opens(line, named)
+        opens = F.when(named == "DISPOSITIF", at["decided"]).when(named == "SIGNATURE", at["signed"]).otherwise(at["annex"])
+        always = summary | (at["act"] & ~state["listed"]) | named.isin("DISPOSITIF", "SIGNATURE", "ANNEXES") & ~at["act"] & opens
         cut = (always | (named != label)) & (F.size(state["held"]) > 0)
         flushed = F.array_append(state["done"], F.struct(label.alias("label"), strip(F.array_join(state["held"], "\n")).alias("content")))
         return F.struct(
-            covered.alias("covered"), (state["listed"] | summary).alias("listed"), named.alias("label"),
-            F.when(cut, F.array(line)).otherwise(F.array_append(state["held"], line)).alias("held"),
+            covered.alias("covered"), (state["listed"] | summary).alias("listed"),
+            F.when(covered | ~at["goes_on"], named).otherwise("ENTETE_GLOBAL").alias("label"),
+            F.when(cut, F.array(at["text"])).otherwise(F.array_append(state["held"], at["text"])).alias("held"),
             F.when(cut, flushed).otherwise(state["done"]).alias("done"),
         )
 
@@ -60,16 +63,18 @@ def sections(text: Column) -> Column:
         last = F.struct(state["label"].alias("label"), strip(F.array_join(state["held"], "\n")).alias("content"))
         return F.when(F.size(state["held"]) > 0, F.array_append(state["done"], last)).otherwise(state["done"])
 
-    return F.aggregate(F.split(text, "\n", -1), start, step, finish)
+    firsts = F.transform(F.split(text, _STRETCH, -1), lambda t: F.struct(t.alias("text"), F.substring_index(t, "\n", 1).alias("line")))
+    return F.aggregate(F.transform(firsts, lambda t: _meaning(t["text"], t["line"])), start, step, finish)
 
 
-def _opens(line: Column, named: Column) -> Column:
-    """Whether a line of a section that may follow itself begins a new one."""
-    return (
-        F.when(named == "DISPOSITIF", line.rlike(r"(?iuU)^\s*D[ÉE]CIDE\s*$"))
-        .when(named == "SIGNATURE", line.rlike(r"(?iuU)\b(?:SIGN[ÉE]|SIGNE|SIGNÉE)\b"))
-        .otherwise(line.rlike(r"(?iuU)^\s*ANNEXE"))
-    )
+def _meaning(text: Column, line: Column) -> Column:
+    """struct<text, goes_on, ...>: what the first line of a stretch is."""
+    signs = {
+        "body": r"(?iuU)^\s*(?:SOMMAIRE|VU|ARTICLE|CONSID|ARR[ÊE]T[ÉE])", "summary": r"(?iuU)^\s*SOMMAIRE\b", "act": _ACT,
+        "visa": r"(?U)^\s*(?:VU|Vu|vu)\b", "recital": r"(?iuU)^\s*(?:CONSID[ÉE]RANT|ATTENDU)", "decided": r"(?iuU)^\s*D[ÉE]CIDE\s*$",
+        "article": r"(?iuU)^\s*ARTICLE\s+\d+", "signed": r"(?iuU)(?=S)\b(?:SIGN[ÉE]|SIGNE|SIGNÉE)\b", "annex": r"(?iuU)^\s*ANNEXE",
+    }
+    return F.struct(text.alias("text"), text.contains("\n").alias("goes_on"), *(line.rlike(sign).alias(name) for name, sign in signs.items()))
 
 
 def missing_labels(found: Column) -> Column:
@@ -95,10 +100,10 @@ def normalized(text: Column) -> Column:
     forms = _compatible()
     one = {c: form for c, form in forms.items() if len(form) == 1}
     several = {c: form for c, form in forms.items() if len(form) > 1}
-    text = F.translate(text, "".join(one), "".join(one.values()))
     longer = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(several[c])), several, text)
-    text = F.when(text.rlike(f"[{''.join(several)}]"), longer).otherwise(text)
-    return strip(sub(sub(sub(text, r"\r\n?", "\n"), r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+    text = F.when(text.rlike(rf"(?=[^\x00-\x7f])[{''.join(several)}]"), longer).otherwise(text)
+    text = F.translate(text, "".join(one), "".join(one.values()))
+    return strip(sub(sub(sub(text, r"\r\n?", "\n"), r"[ \t]{2,}|\t", " "), r"\n{3,}", "\n\n"))
 
 
 def act_pieces(text: Column) -> Column:
