@@ -75,7 +75,8 @@ def diff_lines(pairs: DataFrame, key: str, before: str, after: str, step: str) -
 
         for batch in batches:
             out = []
-            for k, a, b in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for row in range(batch.num_rows):  # texts of one row at a time become Python's
+                k, a, b = (batch.column(i)[row].as_py() for i in range(3))
                 old, new = (a or "").splitlines(), (b or "").splitlines()
                 for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, old, new, autojunk=False).get_opcodes():
                     if tag == "equal":
