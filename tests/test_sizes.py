@@ -25,3 +25,8 @@ def test_characters_differ_in_place(spark):
     rows = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(pairs)], "i int, a string, b string")
     got = [r.n for r in rows.select("i", cleaning.char_differences(F.col("a"), F.col("b")).alias("n")).orderBy("i").collect()]
     assert got[:5] == [n for *_, n in pairs[:5]]
+
+
+def test_articles_that_follow_each_other_are_all_repaired(spark):
+    rows = spark.createDataFrame([("Ie Ie Ie Ia\nIes I'a I’été xIe Iet",)], "t string")
+    assert rows.select(cleaning.repair_articles(F.col("t"))).head()[0] == "le le le la\nles l'a l’été xIe Iet"
