@@ -342,12 +342,14 @@ def fix_final(text: Column) -> Column:
 def typography_audit(rows: DataFrame, column: str) -> DataFrame:
     """The rows with corrections, array<struct<type, count>>: how often each typographic rule fires.
 
-    Each rule counts on the text that the rules before it left.
+    Each rule counts on the text that the rules before it left; of capitals that stand apart, whole runs count.
     """
     rows = rows.withColumn("__text", F.col(column)).withColumn("__n", F.array().cast("array<int>"))
     own = [c for c in rows.columns if not c.startswith("__")]
-    for _, pattern, by in TYPOGRAPHY:
-        counted = F.array_append("__n", F.regexp_count("__text", F.lit(pattern)))
+    for name, pattern, by in TYPOGRAPHY:
+        first = rf"(?U){_CAPITAL}(?<=\b.)(?<!\b{_CAPITAL}\s{{1,8}}{_CAPITAL})(?=\s+{_CAPITAL}\s+{_CAPITAL}\b)"  # of a run
+        fires = first if name == "spaced_capitals" else pattern
+        counted = F.array_append("__n", F.regexp_count("__text", F.lit(fires)))
         rows = rows.select(*own, counted.alias("__n"), sub(F.col("__text"), pattern, by).alias("__text"))
     names = F.array(*(F.lit(name) for name, _, _ in TYPOGRAPHY))
     found = F.transform(F.arrays_zip(names.alias("type"), F.col("__n").alias("count")), lambda r: F.struct(r["type"].alias("type"), r["count"].alias("count")))

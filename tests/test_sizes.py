@@ -30,3 +30,9 @@ def test_characters_differ_in_place(spark):
 def test_articles_that_follow_each_other_are_all_repaired(spark):
     rows = spark.createDataFrame([("Ie Ie Ie Ia\nIes I'a I’été xIe Iet",)], "t string")
     assert rows.select(cleaning.repair_articles(F.col("t"))).head()[0] == "le le le la\nles l'a l’été xIe Iet"
+
+
+def test_runs_of_capitals_count_once(spark):
+    rows = spark.createDataFrame([("le S O M M A I R E et A B C.",), ("A B",), ("A " * 20000,)], "t string")
+    got = [[(c.type, c["count"]) for c in r.corrections] for r in cleaning.typography_audit(rows, "t").collect()]
+    assert got == [[("spaced_capitals", 2)], [], [("spaced_capitals", 1)]]
